@@ -1,0 +1,2 @@
+"""Job plans (bronze ingestion, gold jobs), the registered queries and their
+DuckDB oracle text."""

@@ -1,0 +1,5 @@
+"""Sinks: file datasets and catalog tables."""
+
+from retail_insights.sinks.files import publish_table, write_files
+
+__all__ = ["publish_table", "write_files"]
