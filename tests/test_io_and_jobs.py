@@ -129,7 +129,7 @@ def test_gold_jobs_end_to_end(spark, tmp_path):
     assert spark.table("gold_r1.customer_purchase_trend").count() == 1387
     # The pricing inputs were materialised under the checkpoint folder.
     root = spark.conf.get("spark.checkpoint.dir")
-    assert any(n.startswith("sales_all-") for n in os.listdir(root))
+    assert any(n.startswith("sales_current-") for n in os.listdir(root))
     written = spark.read.parquet(os.path.join(target, "customer_segments"))
     assert written.count() == 136
 

@@ -162,3 +162,12 @@ def test_peak_months(spark):
 def test_fixture_history_split_covers_all_lines(spark):
     f = Fixture(spark, SF_SMALL)
     assert all_sales(f).count() == f.raw("lineitem").count()
+
+
+def test_presented_orders_like_the_source(spark):
+    from retail_insights.plans.presentation import presented
+    sales = _sales(spark, [(1, 1, 10, 2020, 1, 1, "1.50"), (2, 2, 10, 2020, 2, 2, "9.00"),
+                           (3, 1, 10, 2021, 12, 1, "3.00")])
+    out = presented(peak_sales_months(sales), "peak_sales_months").collect()
+    assert [r.year_month for r in out] == ["2020-02", "2021-12", "2020-01"]
+    assert presented(sales, "unknown") is sales
