@@ -1,6 +1,12 @@
 """Reusable column expressions (all built-in Spark functions, JVM-side)."""
 
-from retail_insights.functions.dates import as_of_date, days_since, on_or_after, window_start
+from retail_insights.functions.dates import (
+    as_of_date,
+    days_since,
+    on_or_after,
+    window_start,
+    year_month_label,
+)
 from retail_insights.functions.metrics import (
     count_when,
     pct_change,
@@ -19,4 +25,5 @@ __all__ = [
     "ratio",
     "relative_change_pct",
     "window_start",
+    "year_month_label",
 ]

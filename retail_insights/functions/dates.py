@@ -42,3 +42,15 @@ def on_or_after(col: Column | str, as_of, days: int) -> Column:
 def days_since(col: Column | str, as_of) -> Column:
     """Whole calendar days from ``col`` to ``as_of`` (time of day ignored)."""
     return F.datediff(as_of_date(as_of), F.col(col) if isinstance(col, str) else col)
+
+
+def year_month_label(year: Column | str, month: Column | str) -> Column:
+    """'yyyy-MM' text of a (year, month) pair, equal to
+    ``date_format(ts, 'yyyy-MM')`` for the timestamp's year and month.
+
+    Grouping by the two integers and labelling afterwards formats one value
+    per group instead of one per row, and shuffles two ints, not a string.
+    """
+    y = F.col(year) if isinstance(year, str) else year
+    m = F.col(month) if isinstance(month, str) else month
+    return F.format_string("%04d-%02d", y, m)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_insights.functions import on_or_after
+from retail_insights.functions import on_or_after, year_month_label
 
 
 def top_customers(
@@ -89,13 +89,15 @@ def best_customer_products(sales: DataFrame, products: DataFrame, n: int = 5) ->
         sales.join(top, "customer_id", "left_semi")
         .groupBy(
             "customer_id",
-            F.date_format("order_date", "yyyy-MM").alias("year_month"),
+            F.year("order_date").alias("_y"),
+            F.month("order_date").alias("_m"),
             "product_id",
         )
         .agg(
             F.count("product_id").alias("line_count"),
             F.sum("sales_amount").alias("monthly_sales"),
         )
+        .withColumn("year_month", year_month_label("_y", "_m"))
     )
     names = products.select("product_id", F.col("name").alias("product_name"), "category")
     return monthly.join(names, "product_id").select(

@@ -16,7 +16,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_insights.functions import pct_change, pct_of, ratio, relative_change_pct
+from retail_insights.functions import (
+    pct_change,
+    pct_of,
+    ratio,
+    relative_change_pct,
+    year_month_label,
+)
 from retail_insights.operators.spending import best_customers
 
 
@@ -36,8 +42,11 @@ def _previous(value: str, partition: list[str], year: str, month: str | None,
 def peak_sales_months(sales: DataFrame) -> DataFrame:
     """Sales per calendar month.  Output: year_month ('yyyy-MM'),
     monthly_product_sales."""
-    return sales.groupBy(F.date_format("order_date", "yyyy-MM").alias("year_month")).agg(
-        F.sum("sales_amount").alias("monthly_product_sales"))
+    return (
+        sales.groupBy(F.year("order_date").alias("_y"), F.month("order_date").alias("_m"))
+        .agg(F.sum("sales_amount").alias("monthly_product_sales"))
+        .select(year_month_label("_y", "_m").alias("year_month"), "monthly_product_sales")
+    )
 
 
 def purchase_trend(sales: DataFrame, calendar: bool = False) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,13 @@ CAMPAIGNS = 5                                    # CampaignID = 'CMP-' || k % 5
 DOCUMENT_SPAN = 1024  # events are cut into documents by event_id / 1024
 
 
+# Raw table reads per session.  Reading a Parquet path resolves its file
+# listing and footer schema (a small job); the resolved DataFrame is reused by
+# every query of the same session instead of resolving the path again.
+_READS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = \
+    weakref.WeakKeyDictionary()
+
+
 class Fixture:
     """Logical tables over one scale-factor directory."""
 
@@ -36,7 +44,11 @@ class Fixture:
         self.sf_dir = sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+        path = os.path.join(self.sf_dir, f"{name}.parquet")
+        reads = _READS.setdefault(self.spark, {})
+        if path not in reads:
+            reads[path] = self.spark.read.parquet(path)
+        return reads[path]
 
     # -- relational tables -------------------------------------------------
     def customers(self) -> DataFrame:
