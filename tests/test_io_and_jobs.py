@@ -1,4 +1,6 @@
+import contextlib
 import datetime as dt
+import io
 import json
 import os
 from decimal import Decimal
@@ -34,7 +36,10 @@ def test_jdbc_round_trip_partitioned_read_and_pushdown(spark, tmp_path):
     assert split.rdd.getNumPartitions() == 3
     assert split.count() == src.count() == 1500
     pushed = split.filter(F.col("customer_id") == 1).select("order_id")
-    plan = pushed._jdf.queryExecution().executedPlan().toString()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        pushed.explain()
+    plan = buf.getvalue()
     assert "PushedFilters: [*IsNotNull(customer_id), *EqualTo(customer_id,1)]" in plan
     assert "ReadSchema: struct<order_id:bigint>" in plan
     # Bronze ingestion of the same table through the job entry point.
@@ -141,3 +146,34 @@ def test_as_of_defaults_to_current_date(spark):
                                       "customer_id bigint, first_name string, last_name string, "
                                       "email string, country string")
     assert op.top_customers(orders, customers).count() == 1
+
+
+def test_job_entry_points_from_bronze_folders(spark, tmp_path):
+    from retail_insights.plans import jobs
+
+    b, f = _bronze_from_fixture(spark)
+    root = tmp_path / "bronze"
+    for name, df in b.items():
+        df.write.parquet(str(root / name))
+    f.history().write.parquet(str(tmp_path / "history"))
+    out = str(tmp_path / "gold")
+    # Bronze orders hold the orders from 2000 on, so churn differs from the
+    # whole-table query; the job must equal the operator on the same input.
+    expected = op.churn_risk(b["orders_raw"], AS_OF).count()
+    assert jobs.run(spark, ["churn_prediction", "--bronze-path", str(root), "--target", out,
+                            "--as-of", "2001-08-01"]) == {"churn_risk": expected}
+    got = jobs.run(spark, ["purchase_behavior", "--bronze-path", str(root), "--target", out,
+                           "--as-of", "2001-08-01", "--params", '{"country_like": "NATION_1%"}'])
+    assert got == {"top_customers_by_country": 59}
+    got = jobs.run(spark, ["pricing_trends", "--bronze-path", str(root), "--target", out,
+                           "--history-path", str(tmp_path / "history")])
+    assert got["peak_sales_months"] == 80 and got["customer_segments"] == 136
+    # Relational ingestion through the same entry point, on in-process Derby.
+    url = _derby_url("ri_jobs")
+    f.products().write.format("jdbc").option("url", url).option("dbtable", "Products") \
+        .options(**DERBY).mode("overwrite").save()
+    got = jobs.run(spark, ["ingest_relational", "--target", str(tmp_path / "raw"),
+                           "--jdbc-url", f"Products={url}",
+                           "--jdbc-property", f"driver={DERBY['driver']}",
+                           "--jdbc-partition", "Products=product_id:0:200:2"])
+    assert got == {"products_raw": 200}

@@ -1,6 +1,8 @@
 """Every registered query against its DuckDB oracle (sf0.001), and the plan
 properties the operators are built for."""
 
+import contextlib
+import io
 import re
 
 import pytest
@@ -48,7 +50,11 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan as ``explain()`` prints it."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
 
 
 @pytest.mark.parametrize("name", sorted(EXPECTED_ROWS))
