@@ -58,6 +58,14 @@ def high_risk_strict(spark, sf_dir):
                                   max_spent=200000, max_orders=2)
 
 
+def suspicious_logins(spark, sf_dir):
+    return op.suspicious_logins(_fx(spark, sf_dir).logins(), AS_OF, days=7)
+
+
+def high_risk_orders(spark, sf_dir):
+    return op.high_risk_orders(_fx(spark, sf_dir).orders(), AS_OF, days=30)
+
+
 def interactions(spark, sf_dir):
     return op.flatten_interactions(_fx(spark, sf_dir).campaigns())
 
@@ -82,6 +90,10 @@ def peak_sales_months(spark, sf_dir):
     return op.peak_sales_months(all_sales(_fx(spark, sf_dir)))
 
 
+def best_customers(spark, sf_dir):
+    return op.best_customers(all_sales(_fx(spark, sf_dir)), n=5)
+
+
 def best_customer_products(spark, sf_dir):
     f = _fx(spark, sf_dir)
     return op.best_customer_products(all_sales(f), f.products(), n=5)
@@ -120,11 +132,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "high_risk_default": high_risk_default,
     "high_risk_recent": high_risk_recent,
     "high_risk_strict": high_risk_strict,
+    "suspicious_logins": suspicious_logins,
+    "high_risk_orders": high_risk_orders,
     "interactions": interactions,
     "tickets": tickets,
     "omni_channel": omni_channel,
     "sales_fact": sales_fact,
     "peak_sales_months": peak_sales_months,
+    "best_customers": best_customers,
     "best_customer_products": best_customer_products,
     "purchase_trend": purchase_trend,
     "retention": retention,
