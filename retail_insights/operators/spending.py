@@ -59,6 +59,17 @@ def top_customers(
     )
 
 
+# A top-n set has at most n rows (one key each).  Up to this many rows it is
+# broadcast whatever the session's size threshold says; beyond it the join is
+# left to Spark's own size checks (AQE broadcasts it or shuffles both sides).
+BROADCAST_MAX_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Mark ``df`` for broadcast when ``max_rows`` bounds it small enough."""
+    return F.broadcast(df) if max_rows <= BROADCAST_MAX_ROWS else df
+
+
 def best_customers(sales: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` customers with the highest lifetime ``sales_amount``.
 
@@ -81,10 +92,10 @@ def best_customer_products(sales: DataFrame, products: DataFrame, n: int = 5) ->
     monthly_sales.  ``line_count`` counts sales lines.  Grouping is by
     (customer, month, product), so two products with the same name stay two
     rows.  Lines are reduced to the best customers by a broadcast semi-join
-    (the top-n side is bounded by ``n`` rows), aggregated, and only then joined
-    to the product names.
+    (the top-n side is bounded by ``n`` rows, see ``bounded_broadcast``),
+    aggregated, and only then joined to the product names.
     """
-    top = best_customers(sales, n)
+    top = bounded_broadcast(best_customers(sales, n), n)
     monthly = (
         sales.join(top, "customer_id", "left_semi")
         .groupBy(

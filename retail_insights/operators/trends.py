@@ -23,7 +23,7 @@ from retail_insights.functions import (
     relative_change_pct,
     year_month_label,
 )
-from retail_insights.operators.spending import best_customers
+from retail_insights.operators.spending import best_customers, bounded_broadcast
 
 
 def _previous(value: str, partition: list[str], year: str, month: str | None,
@@ -138,7 +138,8 @@ def yoy_comparison(
     """
     if grain not in ("product", "category"):
         raise ValueError(f"grain must be 'product' or 'category', not {grain!r}")
-    lines = sales.join(best_customers(sales, n), "customer_id", "left_semi").select(
+    top = bounded_broadcast(best_customers(sales, n), n)
+    lines = sales.join(top, "customer_id", "left_semi").select(
         "customer_id", "product_id", "sales_amount",
         F.year("order_date").alias("sales_year"),
         F.month("order_date").alias("sales_month"),
