@@ -8,7 +8,6 @@ from retail_insights.functions.dates import (
     year_month_label,
 )
 from retail_insights.functions.metrics import (
-    count_when,
     pct_change,
     pct_of,
     ratio,
@@ -17,7 +16,6 @@ from retail_insights.functions.metrics import (
 
 __all__ = [
     "as_of_date",
-    "count_when",
     "days_since",
     "on_or_after",
     "pct_change",

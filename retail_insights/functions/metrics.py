@@ -21,11 +21,6 @@ def ratio(num, den) -> Column:
     return _c(num).cast("double") / F.nullif(_c(den), F.lit(0)).cast("double")
 
 
-def count_when(cond: Column) -> Column:
-    """``COUNT(CASE WHEN cond THEN 1 END)``: rows where ``cond`` is true."""
-    return F.count_if(cond)
-
-
 def pct_change(cur, prev, digits: int = 2) -> Column:
     """``round(100 * (cur - prev) / nullif(prev, 0), digits)``.
 
