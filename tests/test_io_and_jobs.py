@@ -177,3 +177,19 @@ def test_job_entry_points_from_bronze_folders(spark, tmp_path):
                            "--jdbc-property", f"driver={DERBY['driver']}",
                            "--jdbc-partition", "Products=product_id:0:200:2"])
     assert got == {"products_raw": 200}
+
+
+def test_incremental_document_exports_keep_nesting(spark, tmp_path):
+    src, out, ck = tmp_path / "exports", tmp_path / "bronze", tmp_path / "ck"
+    src.mkdir()
+    doc = {"CustomerID": 1, "TicketID": "t1", "Timestamp": "2024-01-02T03:04:05",
+           "Issue": {"Status": "Open"}}
+    (src / "part-1.json").write_text(json.dumps(doc))
+    n = incremental_files(spark, str(src), str(out), str(ck), CUSTOMER_SUPPORT, format="json",
+                          transform=op.flatten_tickets)
+    assert n == 1
+    (src / "part-2.json").write_text(json.dumps({**doc, "TicketID": "t2", "Issue": None}))
+    assert incremental_files(spark, str(src), str(out), str(ck), CUSTOMER_SUPPORT,
+                             format="json", transform=op.flatten_tickets) == 1
+    back = spark.read.parquet(str(out))
+    assert rows(back, "TicketID", "Status") == [("t1", "Open"), ("t2", None)]
