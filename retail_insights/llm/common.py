@@ -3,6 +3,7 @@ and materialised intermediate tables."""
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -64,3 +65,10 @@ def only(df: DataFrame, *names: str) -> DataFrame:
         df = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
         return df.select([F.col(f"c{by_name[n]}").alias(n) for n in names])
     return df.select(*names)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's context cleaner delete the shuffle files of finished steps;
+    it acts when the JVM collects the plans that owned them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
