@@ -22,7 +22,7 @@ are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_insights.llm.common import materialize, only, table
@@ -78,17 +78,19 @@ def _fingerprints(shingle: int):
 
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([fingerprint(t.as_py()) for t in batch.column(1)], pa.int64())],
-                names=["doc_id", "fp"])
+                [batch.column(0), batch.column(1),
+                 pa.array([fingerprint(t.as_py()) for t in batch.column(2)], pa.int64())],
+                names=["doc_id", "text_hash", "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)``: the fingerprint as a signed 64-bit number."""
-    d = only(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return d.mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
+    """``(doc_id, text_hash, fp)``: the fingerprint as a signed 64-bit number."""
+    d = only(docs, id_col, text_col).select(
+        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    return d.mapInArrow(_fingerprints(shingle), "doc_id long, text_hash long, fp long")
 
 
 def _bucket_links(max_distance: int):
@@ -152,16 +154,36 @@ def links(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp, component_id)`` per input row; the component is named by
-    the least document id that links reach."""
+    """``(doc_id, text_hash, fp, root, component_id)`` per input row; the
+    component is named by the least document id that links reach, ``root`` is
+    its least fingerprint."""
     prints = materialize(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     reps = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "representatives")
     roots = connected_components(links(reps, max_distance))
     rooted = reps.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    return prints.join(rooted.join(named, "root").select("fp", "component_id"), "fp").select(
-        "doc_id", "fp", "component_id")
+    return prints.join(rooted.join(named, "root").select("fp", "root", "component_id"), "fp").select(
+        "doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE,
+                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents without near-duplicates, all columns kept: of each group
+    the row with the least id stays (rows without an id come last; equal ids go
+    by text hash; rows equal in both are one document)."""
+    groups = simhash_components(docs, shingle, max_distance, id_col, text_col)
+    winners = groups.groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("w")).select(
+        F.coalesce("w.doc_id", "w.text_hash").alias("_key"), F.col("w.text_hash").alias("_hash"),
+        F.col("w.no_id").alias("_no_id"))
+    keyed = docs.withColumn("_text_hash", F.xxhash64(text_col)).withColumn(
+        "_key", F.coalesce(F.col(id_col).cast("long"), F.col("_text_hash")))
+    kept = keyed.join(winners, "_key").where(
+        (F.col("_hash") == F.col("_text_hash")) & (F.col("_no_id") == F.col(id_col).isNull()))
+    # The join left equal rows side by side; one of them stays.
+    first = Window.partitionBy("_key", "_hash", "_no_id").orderBy(F.xxhash64(*docs.columns))
+    return kept.withColumn("_row", F.row_number().over(first)).where("_row = 1").select(docs.columns)
 
 
 def hex_fingerprint(fp: Column) -> Column:
