@@ -9,13 +9,14 @@ and read again as the next one's input.
 5. best-fit packing: the texts become pieces of full sequences.
 
 Stages 1-4 return the columns of their input.  A null or wordless text has no
-language and goes in stage 1; rows that repeat an id are one document for
-stage 2, which keeps one of them.  An empty table gives an empty result.
+language and goes in stage 1.  In stage 2 rows without an id stay only if their
+group has no other, and equal rows are one document.  An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_insights.llm import bin_packing, decontaminate, ppm_language, secret_crf, simhash_covering
@@ -27,13 +28,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash_covering.simhash_components(docs)
-    # The named document of each group; rows without an id stand for themselves.
-    winners = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id", "fp").distinct()
-    kept = docs.join(winners, "doc_id")
-    # The join left the rows of an id together; one of them stays.
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "source")
-    return kept.withColumn("_row", F.row_number().over(first)).where("_row = 1").select(docs.columns)
+    return simhash_covering.one_of_each_group(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
