@@ -50,7 +50,8 @@ def year_month_label(year: Column | str, month: Column | str) -> Column:
 
     Grouping by the two integers and labelling afterwards formats one value
     per group instead of one per row, and shuffles two ints, not a string.
+    A NULL year or month gives NULL.
     """
     y = F.col(year) if isinstance(year, str) else year
     m = F.col(month) if isinstance(month, str) else month
-    return F.format_string("%04d-%02d", y, m)
+    return F.when(y.isNotNull() & m.isNotNull(), F.format_string("%04d-%02d", y, m))

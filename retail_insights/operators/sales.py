@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_insights.schemas import SALES_COLUMNS
+from retail_insights.schemas import SALES
 
 
 def sales_fact(orders: DataFrame, order_items: DataFrame, products: DataFrame) -> DataFrame:
@@ -16,7 +16,8 @@ def sales_fact(orders: DataFrame, order_items: DataFrame, products: DataFrame) -
     order_month.
 
     Products contribute only their existence here, so the product side is a
-    semi-join on ``product_id`` (products are keyed by it): Catalyst prunes it
+    semi-join on ``product_id`` (products are unique by it, which bronze
+    ingestion checks): Catalyst prunes it
     to the key column and broadcasts it when its size is under the threshold,
     otherwise both sides shuffle on the key.  The order/line join is the big
     one; it shuffles both sides on ``order_id`` and AQE splits a skewed
@@ -36,17 +37,15 @@ def sales_fact(orders: DataFrame, order_items: DataFrame, products: DataFrame) -
     )
 
 
-def conform(history: DataFrame, like: DataFrame) -> DataFrame:
-    """Cast ``history`` onto the column names and types of ``like``."""
-    return history.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema.fields])
+def conform(sales: DataFrame) -> DataFrame:
+    """``sales`` with the names, order and types of :data:`schemas.SALES`."""
+    return sales.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in SALES.fields])
 
 
 def with_history(sales: DataFrame, history: DataFrame) -> DataFrame:
     """Current sales plus the historical archive, duplicates kept.
 
-    The archive is cast to the current fact's schema (names and types) and
-    appended by name, so a column-order change in the archive files cannot
-    shift values between columns, and both halves share one timestamp kind.
+    Both sides are cast to the declared sales schema by name, so neither a
+    column order nor a type of the archive files can shift or widen values.
     """
-    current = sales.select(*SALES_COLUMNS)
-    return current.unionByName(conform(history, current))
+    return conform(sales).unionByName(conform(history))

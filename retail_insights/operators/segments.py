@@ -19,7 +19,8 @@ def customer_segments(
     """Segment customers by purchase count and spend.
 
     Output: customer_id, purchase_count, total_spent, last_order_date,
-    customer_segment.  ``purchase_count`` counts sales lines.  A customer
+    customer_segment, order_count.  ``purchase_count`` counts sales lines,
+    ``order_count`` orders.  A customer
     with at least ``high`` = (lines, spend) is high-value, else with at least
     ``regular`` a regular customer, else an occasional buyer.
     """
@@ -27,6 +28,7 @@ def customer_segments(
         F.count("order_id").alias("purchase_count"),
         F.sum("sales_amount").alias("total_spent"),
         F.max("order_date").alias("last_order_date"),
+        F.count_distinct("order_id").alias("order_count"),
     )
     count, spent = F.col("purchase_count"), F.col("total_spent")
     segment = (

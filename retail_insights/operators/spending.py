@@ -59,22 +59,10 @@ def top_customers(
     )
 
 
-# A top-n set has at most n rows (one key each).  Up to this many rows it is
-# broadcast whatever the session's size threshold says; beyond it the join is
-# left to Spark's own size checks (AQE broadcasts it or shuffles both sides).
-BROADCAST_MAX_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast when ``max_rows`` bounds it small enough."""
-    return F.broadcast(df) if max_rows <= BROADCAST_MAX_ROWS else df
-
-
 def best_customers(sales: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` customers with the highest lifetime ``sales_amount``.
 
-    Ties are broken by ``customer_id`` so the set is deterministic.  The
-    result has at most ``n`` rows, so joins against it broadcast.
+    Ties are broken by ``customer_id`` so the set is deterministic.
     """
     return (
         sales.groupBy("customer_id")
@@ -85,17 +73,19 @@ def best_customers(sales: DataFrame, n: int = 5) -> DataFrame:
     )
 
 
-def best_customer_products(sales: DataFrame, products: DataFrame, n: int = 5) -> DataFrame:
+def best_customer_products(sales: DataFrame, products: DataFrame, n: int = 5,
+                           top: DataFrame | None = None) -> DataFrame:
     """Monthly product purchases of the ``n`` best customers.
 
     Output: customer_id, year_month, line_count, product_name, category,
     monthly_sales.  ``line_count`` counts sales lines.  Grouping is by
     (customer, month, product), so two products with the same name stay two
-    rows.  Lines are reduced to the best customers by a broadcast semi-join
-    (the top-n side is bounded by ``n`` rows, see ``bounded_broadcast``),
-    aggregated, and only then joined to the product names.
+    rows.  ``top`` is a ready set of customers; ``sales`` may then hold their
+    lines alone.  The set has at most ``n`` rows, so the semi-join's side is
+    small, and Spark broadcasts it by its measured size.
     """
-    top = bounded_broadcast(best_customers(sales, n), n)
+    if top is None:
+        top = best_customers(sales, n)
     monthly = (
         sales.join(top, "customer_id", "left_semi")
         .groupBy(

@@ -23,7 +23,7 @@ from retail_insights.functions import (
     relative_change_pct,
     year_month_label,
 )
-from retail_insights.operators.spending import best_customers, bounded_broadcast
+from retail_insights.operators.spending import best_customers
 
 
 def _previous(value: str, partition: list[str], year: str, month: str | None,
@@ -54,8 +54,8 @@ def purchase_trend(sales: DataFrame, calendar: bool = False) -> DataFrame:
 
     Output: customer_id, order_year, order_month, orders_per_month (distinct
     orders), monthly_spent, previous_month_spent, spending_growth_pct,
-    avg_order_value.  ``avg_order_value`` is the mean sales *line* amount of
-    the month, as in the source.
+    avg_order_value, avg_spend_per_order.  ``avg_order_value`` is the mean
+    sales *line* amount of the month, as in the source.
     """
     monthly = sales.groupBy("customer_id", "order_year", "order_month").agg(
         F.count_distinct("order_id").alias("orders_per_month"),
@@ -68,6 +68,7 @@ def purchase_trend(sales: DataFrame, calendar: bool = False) -> DataFrame:
         "previous_month_spent",
         pct_change("monthly_spent", "previous_month_spent").alias("spending_growth_pct"),
         "avg_order_value",
+        ratio("monthly_spent", "orders_per_month").alias("avg_spend_per_order"),
     )
 
 
@@ -127,6 +128,7 @@ def yoy_comparison(
     n: int = 5,
     grain: str = "product",
     calendar: bool = False,
+    top: DataFrame | None = None,
 ) -> DataFrame:
     """Year-over-year monthly sales of the ``n`` best customers.
 
@@ -134,11 +136,13 @@ def yoy_comparison(
     category, sales_year, sales_month, monthly_sales, prev_year_sales,
     yoy_growth_percent.  ``grain="category"`` groups by category instead and
     drops product_id and product_name.  The previous year is the previous
-    present year of the same (customer, item, calendar month).
+    present year of the same (customer, item, calendar month).  ``top`` is a
+    ready set of customers; ``sales`` may then hold their lines alone.
     """
     if grain not in ("product", "category"):
         raise ValueError(f"grain must be 'product' or 'category', not {grain!r}")
-    top = bounded_broadcast(best_customers(sales, n), n)
+    if top is None:
+        top = best_customers(sales, n)
     lines = sales.join(top, "customer_id", "left_semi").select(
         "customer_id", "product_id", "sales_amount",
         F.year("order_date").alias("sales_year"),

@@ -11,10 +11,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from retail_insights.sinks import write_files
-from retail_insights.sources import read_documents, read_files, read_jdbc
+from retail_insights import schemas
+from retail_insights.sinks import publish_table, write_files
+from retail_insights.sources import read_documents, read_files, read_jdbc, read_typed_documents
 
 # Source tables and the bronze datasets they land in.
 RELATIONAL_TABLES = {
@@ -30,6 +32,20 @@ DOCUMENT_TABLES = {
 }
 
 
+#: Tables that must be unique by a column: later joins count on it.
+UNIQUE = {"products_raw": "product_id"}
+#: Declared schemas of the bronze datasets.
+SCHEMAS = {
+    "customers_raw": schemas.CUSTOMERS,
+    "products_raw": schemas.PRODUCTS,
+    "orders_raw": schemas.ORDERS,
+    "order_items_raw": schemas.ORDER_ITEMS,
+    "login_history_raw": schemas.LOGIN_HISTORY,
+    "customer_support_raw": schemas.CUSTOMER_SUPPORT,
+    "enterprise_campaign_raw": schemas.ENTERPRISE_CAMPAIGN,
+}
+
+
 @dataclass(frozen=True)
 class JdbcTable:
     """One relational source table and how to split its read."""
@@ -38,9 +54,39 @@ class JdbcTable:
     table: str
     name: str
     partition_column: str | None = None
-    lower_bound: int | None = None
-    upper_bound: int | None = None
+    lower_bound: int | str | None = None
+    upper_bound: int | str | None = None
     num_partitions: int | None = None
+    fetch_size: int | None = None
+
+
+def declared(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the declared types of dataset ``name``.  Column names match
+    in any case; columns that are not declared stay as they are; a declared
+    column that is missing raises."""
+    if name not in SCHEMAS:
+        return df
+    have = {c.lower(): c for c in df.columns}
+    want = {f.name.lower(): f for f in SCHEMAS[name].fields}
+    missing = sorted(set(want) - set(have))
+    if missing:
+        raise ValueError(f"{name}: missing columns {missing}")
+    return df.select([
+        F.col(f"`{c}`").cast(want[k].dataType).alias(want[k].name) if k in want else F.col(f"`{c}`")
+        for k, c in have.items()])
+
+
+def _land(spark: SparkSession, df: DataFrame, name: str, target: str, database: str | None) -> int:
+    """Write one bronze dataset, as a catalog table if ``database`` is given,
+    and check its unique key on what was written."""
+    path = os.path.join(target, name)
+    n = publish_table(spark, df, f"{database}.{name}", path=path) if database else write_files(df, path)
+    key = UNIQUE.get(name)
+    if key in df.columns:
+        twice = spark.read.parquet(path).groupBy(key).count().where("count > 1").select(key).take(3)
+        if twice:
+            raise ValueError(f"{name}: {key} is not unique, e.g. {[r[0] for r in twice]}")
+    return n
 
 
 def ingest_jdbc(
@@ -48,13 +94,15 @@ def ingest_jdbc(
     tables: list[JdbcTable],
     target: str,
     properties: dict[str, str] | None = None,
+    database: str | None = None,
 ) -> dict[str, int]:
-    """Copy each table to ``<target>/<name>``; returns rows written per name."""
+    """Copy each table to ``<target>/<name>`` in its declared types, and
+    register it in ``database`` if given; returns rows written per name."""
     counts = {}
     for t in tables:
         df = read_jdbc(spark, t.url, t.table, properties, t.partition_column, t.lower_bound,
-                       t.upper_bound, t.num_partitions)
-        counts[t.name] = write_files(df, os.path.join(target, t.name))
+                       t.upper_bound, t.num_partitions, t.fetch_size)
+        counts[t.name] = _land(spark, declared(df, t.name), t.name, target, database)
     return counts
 
 
@@ -63,13 +111,21 @@ def ingest_documents(
     exports: dict[str, tuple[str, StructType | None]],
     target: str,
     format: str = "json",
+    database: str | None = None,
+    typed: bool = False,
 ) -> dict[str, int]:
     """Copy document-store exports ``{name: (path, schema)}`` to
-    ``<target>/<name>``, nested fields kept."""
+    ``<target>/<name>``, nested fields kept, and register them in ``database``
+    if given.  ``typed`` reads exports whose values carry their type."""
     counts = {}
     for name, (path, schema) in exports.items():
-        df = read_documents(spark, path, schema, format)
-        counts[name] = write_files(df, os.path.join(target, name))
+        if typed:
+            if schema is None:
+                raise ValueError(f"{name}: a typed export needs a schema")
+            df = read_typed_documents(spark, path, schema)
+        else:
+            df = read_documents(spark, path, schema, format)
+        counts[name] = _land(spark, df, name, target, database)
     return counts
 
 

@@ -13,25 +13,36 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from retail_insights import operators as op
+from retail_insights.plans.presentation import presented
 from retail_insights.session import scratch_path
 from retail_insights.sinks import publish_table, write_files
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below ``spark.checkpoint.dir`` and return it read back."""
+@contextmanager
+def materialized(spark: SparkSession, df: DataFrame, name: str):
+    """``df`` written below ``spark.checkpoint.dir`` and read back; the copy
+    is deleted at the end."""
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    try:
+        df.write.mode("overwrite").parquet(path)
+        yield spark.read.parquet(path)
+    finally:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def _write_all(spark: SparkSession, outputs: dict[str, DataFrame], target: str,
-               database: str | None) -> dict[str, int]:
+               database: str | None, ordered: bool = False) -> dict[str, int]:
+    """``ordered`` sorts each output as the source presents it."""
     counts = {}
     for name, df in outputs.items():
+        if ordered:
+            df = presented(df, name)
         path = os.path.join(target, name)
         if database:
             counts[name] = publish_table(spark, df, f"{database}.{name}", path=path)
@@ -41,49 +52,54 @@ def _write_all(spark: SparkSession, outputs: dict[str, DataFrame], target: str,
 
 
 def purchase_behavior(spark, bronze: Mapping[str, DataFrame], target: str, as_of=None,
-                      database: str | None = None, **params) -> dict[str, int]:
+                      database: str | None = None, ordered: bool = False,
+                      **params) -> dict[str, int]:
     out = op.top_customers(bronze["orders_raw"], bronze["customers_raw"], as_of, **params)
-    return _write_all(spark, {"top_customers_by_country": out}, target, database)
+    return _write_all(spark, {"top_customers_by_country": out}, target, database, ordered)
 
 
 def churn_prediction(spark, bronze: Mapping[str, DataFrame], target: str, as_of=None,
-                     database: str | None = None, **params) -> dict[str, int]:
+                     database: str | None = None, ordered: bool = False,
+                      **params) -> dict[str, int]:
     out = op.churn_risk(bronze["orders_raw"], as_of, **params)
-    return _write_all(spark, {"churn_risk": out}, target, database)
+    return _write_all(spark, {"churn_risk": out}, target, database, ordered)
 
 
 def fraud_detection(spark, bronze: Mapping[str, DataFrame], target: str, as_of=None,
-                    database: str | None = None, **params) -> dict[str, int]:
+                    database: str | None = None, ordered: bool = False,
+                      **params) -> dict[str, int]:
     out = op.high_risk_customers(bronze["login_history_raw"], bronze["orders_raw"], as_of, **params)
-    return _write_all(spark, {"high_risk_customers": out}, target, database)
+    return _write_all(spark, {"high_risk_customers": out}, target, database, ordered)
 
 
 def omni_channel_engagement(spark, bronze: Mapping[str, DataFrame], target: str, as_of=None,
-                            database: str | None = None, days: int = 90) -> dict[str, int]:
+                            database: str | None = None, ordered: bool = False,
+                            days: int = 90) -> dict[str, int]:
     out = op.omni_channel(
         op.flatten_interactions(bronze["enterprise_campaign_raw"]),
         bronze["orders_raw"],
         op.flatten_tickets(bronze["customer_support_raw"]),
         as_of, days)
-    return _write_all(spark, {"omni_channel_engagement": out}, target, database)
+    return _write_all(spark, {"omni_channel_engagement": out}, target, database, ordered)
 
 
 def pricing_trends(spark, bronze: Mapping[str, DataFrame], history: DataFrame, target: str,
-                   database: str | None = None, top_n: int = 5) -> dict[str, int]:
+                   database: str | None = None, ordered: bool = False, top_n: int = 5) -> dict[str, int]:
     """Sales fact (current + archive) and the seven pricing outputs."""
     products = bronze["products_raw"]
     current = op.sales_fact(bronze["orders_raw"], bronze["order_items_raw"], products)
     # The archive is already a file dataset; only the joined current lines
-    # are written once, and the union of the two is two plain scans.
-    current = materialize(spark, current, "sales_current")
-    sales = op.with_history(current, history)
-    outputs = {
-        "peak_sales_months": op.peak_sales_months(sales),
-        "top_customers": op.best_customer_products(sales, products, top_n),
-        "customer_purchase_trend": op.purchase_trend(sales),
-        "retention_rate_pct": op.yearly_retention(sales),
-        "month_over_month_growth_pct": op.product_growth(sales, products),
-        "yoy_comparison": op.yoy_comparison(sales, products, top_n),
-        "customer_segments": op.customer_segments(current),
-    }
-    return _write_all(spark, outputs, target, database)
+    # are written once, and the union of the two is two plain scans.  The best
+    # customers, which two outputs share, are found and written once as well.
+    with materialized(spark, op.conform(current), "sales_current") as current:
+        sales = op.with_history(current, history)
+        with materialized(spark, op.best_customers(sales, top_n), "best_customers") as top:
+            return _write_all(spark, {
+                "peak_sales_months": op.peak_sales_months(sales),
+                "top_customers": op.best_customer_products(sales, products, top=top),
+                "customer_purchase_trend": op.purchase_trend(sales),
+                "retention_rate_pct": op.yearly_retention(sales),
+                "month_over_month_growth_pct": op.product_growth(sales, products),
+                "yoy_comparison": op.yoy_comparison(sales, products, top=top),
+                "customer_segments": op.customer_segments(current),
+            }, target, database, ordered)

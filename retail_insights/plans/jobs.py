@@ -20,15 +20,10 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from retail_insights import schemas
 from retail_insights.plans import bronze, gold
 from retail_insights.session import build_session
 
 BRONZE_TABLES = list(bronze.RELATIONAL_TABLES.values()) + list(bronze.DOCUMENT_TABLES.values())
-DOCUMENT_SCHEMAS = {
-    "customer_support_raw": schemas.CUSTOMER_SUPPORT,
-    "enterprise_campaign_raw": schemas.ENTERPRISE_CAMPAIGN,
-}
 GOLD_JOBS = {
     "purchase_behavior": gold.purchase_behavior,
     "churn_prediction": gold.churn_prediction,
@@ -76,13 +71,26 @@ def parser() -> argparse.ArgumentParser:
                    help="SourceTable=jdbc:url, one per relational table")
     p.add_argument("--jdbc-property", action="append", default=[], help="key=value")
     p.add_argument("--jdbc-partition", action="append", default=[],
-                   help="SourceTable=column:lower:upper:partitions")
+                   help="SourceTable=column,lower,upper,partitions")
+    p.add_argument("--fetch-size", type=int, help="rows per JDBC round trip")
+    p.add_argument("--only", action="store_true", help="ingest the named tables alone")
+    p.add_argument("--typed", action="store_true", help="document exports whose values carry their type")
+    p.add_argument("--ordered", action="store_true", help="sort each output as the source presents it")
     p.add_argument("--export", action="append", default=[],
-                   help="bronze_name=path of a document export (JSON lines)")
+                   help="bronze dataset=path of a document export (JSON lines)")
     p.add_argument("--source", help="input folder, convert_files only")
     return p
 
 
+def _check_names(option: str, given: dict, known: dict, only: bool) -> None:
+    """Every given name is known and, unless ``only``, every known one given."""
+    unknown, missing = sorted(set(given) - set(known)), sorted(set(known) - set(given))
+    if unknown:
+        raise SystemExit(f"{option}: unknown {unknown}; known are {sorted(known)}")
+    if missing and not only:
+        raise SystemExit(f"{option}: missing {missing}; --only ingests the given ones alone")
+
+
 def run(spark: SparkSession, argv: list[str]) -> dict[str, int]:
     a = parser().parse_args(argv)
     params = json.loads(a.params)
@@ -94,27 +102,31 @@ def run(spark: SparkSession, argv: list[str]) -> dict[str, int]:
             if not a.history_path:
                 raise SystemExit("pricing_trends needs --history-path")
             history = spark.read.parquet(a.history_path)
-            return gold.pricing_trends(spark, tables, history, a.target, a.publish_db, **params)
-        return GOLD_JOBS[a.job](spark, tables, a.target, a.as_of, a.publish_db, **params)
+            return gold.pricing_trends(spark, tables, history, a.target, a.publish_db, a.ordered, **params)
+        return GOLD_JOBS[a.job](spark, tables, a.target, a.as_of, a.publish_db, a.ordered, **params)
     if a.job == "ingest_relational":
         urls, parts = _pairs(a.jdbc_url), _pairs(a.jdbc_partition)
+        _check_names("--jdbc-url", urls, bronze.RELATIONAL_TABLES, a.only)
+        _check_names("--jdbc-partition", parts, urls, True)
         props = _pairs(a.jdbc_property)
         for key, env in (("user", "RETAIL_JDBC_USER"), ("password", "RETAIL_JDBC_PASSWORD")):
             if key not in props and os.environ.get(env):
                 props[key] = os.environ[env]
         tables = []
-        for source, name in bronze.RELATIONAL_TABLES.items():
-            if source not in urls:
-                continue
+        for source, url in urls.items():
             col = lo = hi = n = None
             if source in parts:
-                col, lo, hi, n = parts[source].split(":")
-                lo, hi, n = int(lo), int(hi), int(n)
-            tables.append(bronze.JdbcTable(urls[source], source, name, col, lo, hi, n))
-        return bronze.ingest_jdbc(spark, tables, a.target, props)
+                col, lo, hi, n = parts[source].split(",")
+                n = int(n)
+            tables.append(bronze.JdbcTable(url, source, bronze.RELATIONAL_TABLES[source], col, lo, hi, n,
+                                           a.fetch_size))
+        return bronze.ingest_jdbc(spark, tables, a.target, props, a.publish_db)
     if a.job == "ingest_documents":
-        exports = {name: (path, DOCUMENT_SCHEMAS.get(name)) for name, path in _pairs(a.export).items()}
-        return bronze.ingest_documents(spark, exports, a.target)
+        paths = _pairs(a.export)
+        known = dict.fromkeys(bronze.DOCUMENT_TABLES.values())
+        _check_names("--export", paths, known, a.only)
+        exports = {name: (path, bronze.SCHEMAS[name]) for name, path in paths.items()}
+        return bronze.ingest_documents(spark, exports, a.target, database=a.publish_db, typed=a.typed)
     if not a.source:
         raise SystemExit("convert_files needs --source")
     return {"rows": bronze.convert_files(spark, a.source, a.target)}

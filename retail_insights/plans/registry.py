@@ -32,6 +32,16 @@ def current_sales(f: Fixture) -> DataFrame:
     return op.sales_fact(f.current_orders(), f.order_items(), f.products())
 
 
+def sales_of(f: Fixture, top: DataFrame) -> DataFrame:
+    """The fact of the customers in ``top``: their orders are found before any
+    line is joined, so only their lines are."""
+    def only(orders):
+        return orders.join(top, "customer_id", "left_semi")
+
+    current = op.sales_fact(only(f.current_orders()), f.order_items(), f.products())
+    return op.with_history(current, f.history(only(f.archived_orders())))
+
+
 def top_customers(spark, sf_dir):
     f = _fx(spark, sf_dir)
     return op.top_customers(f.orders(), f.customers(), AS_OF, days=365, k=10,
@@ -44,22 +54,22 @@ def churn_risk(spark, sf_dir):
 
 def high_risk_default(spark, sf_dir):
     f = _fx(spark, sf_dir)
-    return op.high_risk_customers(f.logins(), f.orders(), AS_OF)
+    return op.high_risk_customers(f.logins(days=30), f.orders(), AS_OF)
 
 
 def high_risk_recent(spark, sf_dir):
     f = _fx(spark, sf_dir)
-    return op.high_risk_customers(f.logins(), f.orders(), AS_OF, login_days=7, order_days=30)
+    return op.high_risk_customers(f.logins(days=7), f.orders(), AS_OF, login_days=7, order_days=30)
 
 
 def high_risk_strict(spark, sf_dir):
     f = _fx(spark, sf_dir)
-    return op.high_risk_customers(f.logins(), f.orders(), AS_OF, max_ips=12, max_attempts=16,
+    return op.high_risk_customers(f.logins(days=30), f.orders(), AS_OF, max_ips=12, max_attempts=16,
                                   max_spent=200000, max_orders=2)
 
 
 def suspicious_logins(spark, sf_dir):
-    return op.suspicious_logins(_fx(spark, sf_dir).logins(), AS_OF, days=7)
+    return op.suspicious_logins(_fx(spark, sf_dir).logins(days=7), AS_OF, days=7)
 
 
 def high_risk_orders(spark, sf_dir):
@@ -78,8 +88,8 @@ def tickets(spark, sf_dir):
 
 def omni_channel(spark, sf_dir):
     f = _fx(spark, sf_dir)
-    return op.omni_channel(op.flatten_interactions(f.campaigns()), f.orders(),
-                           op.flatten_tickets(f.support()), AS_OF, days=90)
+    return op.omni_channel(op.flatten_interactions(f.campaigns(days=90)), f.orders(),
+                           op.flatten_tickets(f.support(days=90)), AS_OF, days=90)
 
 
 def sales_fact(spark, sf_dir):
@@ -96,7 +106,8 @@ def best_customers(spark, sf_dir):
 
 def best_customer_products(spark, sf_dir):
     f = _fx(spark, sf_dir)
-    return op.best_customer_products(all_sales(f), f.products(), n=5)
+    top = op.best_customers(all_sales(f), n=5)
+    return op.best_customer_products(sales_of(f, top), f.products(), top=top)
 
 
 def purchase_trend(spark, sf_dir):
@@ -112,14 +123,23 @@ def product_mom_growth(spark, sf_dir):
     return op.product_growth(all_sales(f), f.products())
 
 
-def yoy_by_product(spark, sf_dir):
+def _yoy(spark, sf_dir, n, grain):
     f = _fx(spark, sf_dir)
-    return op.yoy_comparison(all_sales(f), f.products(), n=5, grain="product")
+    top = op.best_customers(all_sales(f), n=n)
+    return op.yoy_comparison(sales_of(f, top), f.products(), grain=grain, top=top)
+
+
+def yoy_by_product(spark, sf_dir):
+    return _yoy(spark, sf_dir, 5, "product")
+
+
+def yoy_by_product_wide(spark, sf_dir):
+    """Enough customers for products that were bought in two years."""
+    return _yoy(spark, sf_dir, 1000, "product")
 
 
 def yoy_by_category(spark, sf_dir):
-    f = _fx(spark, sf_dir)
-    return op.yoy_comparison(all_sales(f), f.products(), n=5, grain="category")
+    return _yoy(spark, sf_dir, 5, "category")
 
 
 def segments(spark, sf_dir):
@@ -145,6 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retention": retention,
     "product_mom_growth": product_mom_growth,
     "yoy_by_product": yoy_by_product,
+    "yoy_by_product_wide": yoy_by_product_wide,
     "yoy_by_category": yoy_by_category,
     "segments": segments,
 }

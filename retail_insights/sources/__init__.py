@@ -1,13 +1,12 @@
-"""Sources: JDBC tables, document exports, files, catalog tables, and the
-binding of the driver's test tables (:mod:`retail_insights.sources.fixture`)."""
+"""Sources: JDBC tables, document exports, files, and the binding of the
+driver's test tables (:mod:`retail_insights.sources.fixture`)."""
 
 from retail_insights.sources.readers import (
     read_csv,
     read_documents,
     read_files,
     read_jdbc,
-    read_parquet,
-    read_table,
+    read_typed_documents,
 )
 
-__all__ = ["read_csv", "read_documents", "read_files", "read_jdbc", "read_parquet", "read_table"]
+__all__ = ["read_csv", "read_documents", "read_files", "read_jdbc", "read_typed_documents"]

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
-import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,14 +25,6 @@ CHANNELS = ["Email", "Web", "App"]               # by k % 3
 ACTIONS = {"view": "Opened", "click": "Clicked", "purchase": "Converted"}
 TICKET_STATUSES = ["Open", "Resolved", "Pending"]  # by k % 3
 CAMPAIGNS = 5                                    # CampaignID = 'CMP-' || k % 5
-DOCUMENT_SPAN = 1024  # events are cut into documents by event_id / 1024
-
-
-# Raw table reads per session.  Reading a Parquet path resolves its file
-# listing and footer schema (a small job); the resolved DataFrame is reused by
-# every query of the same session instead of resolving the path again.
-_READS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = \
-    weakref.WeakKeyDictionary()
 
 
 class Fixture:
@@ -44,11 +35,7 @@ class Fixture:
         self.sf_dir = sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        path = os.path.join(self.sf_dir, f"{name}.parquet")
-        reads = _READS.setdefault(self.spark, {})
-        if path not in reads:
-            reads[path] = self.spark.read.parquet(path)
-        return reads[path]
+        return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
 
     # -- relational tables -------------------------------------------------
     def customers(self) -> DataFrame:
@@ -74,6 +61,11 @@ class Fixture:
         """Orders still in the operational database (from the cutoff on)."""
         return self.orders().filter(F.col("order_date") >= F.lit(HISTORY_CUTOFF))
 
+    def archived_orders(self) -> DataFrame:
+        """All other orders; an order without a date is in the archive."""
+        return self.orders().filter(
+            F.col("order_date").isNull() | (F.col("order_date") < F.lit(HISTORY_CUTOFF)))
+
     def order_items(self) -> DataFrame:
         return self.raw("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
@@ -89,38 +81,41 @@ class Fixture:
             F.col("p_type").alias("category"),
         )
 
-    def history(self) -> DataFrame:
-        """The sales archive: lines of orders before the cutoff, stored with
-        the archive's own types (int keys), as an exported file would be."""
+    def history(self, orders: DataFrame | None = None) -> DataFrame:
+        """The sales archive: the lines of archived orders (or of ``orders``,
+        a part of them)."""
         from retail_insights.operators.sales import sales_fact
 
-        old = self.orders().filter(F.col("order_date") < F.lit(HISTORY_CUTOFF))
-        return sales_fact(old, self.order_items(), self.products()).select(
-            F.col("order_id").cast("int"), F.col("customer_id").cast("int"), "order_date",
-            F.col("product_id").cast("int"), "quantity", "unit_price", "sales_amount",
-            "order_year", "order_month",
-        )
+        return sales_fact(self.archived_orders() if orders is None else orders,
+                          self.order_items(), self.products())
 
     # -- event-derived tables ---------------------------------------------
-    def _events(self, types: list[str]) -> DataFrame:
-        return self.raw("events").filter(F.col("event_type").isin(*types)).select(
+    def _events(self, types: list[str], days: int | None = None) -> DataFrame:
+        """Events of the given types.  ``days`` keeps those of the window that
+        ends at the as-of date; the bound stands on the raw time, so that it
+        reaches the scan."""
+        events = self.raw("events").filter(F.col("event_type").isin(*types))
+        if days is not None:
+            first = AS_OF - _dt.timedelta(days=days) + _dt.timedelta(days=EVENT_SHIFT_DAYS)
+            kind = events.schema["ts"].dataType
+            events = events.filter(F.col("ts") >= F.lit(first.isoformat()).cast(kind))
+        return events.select(
             "event_id", "user_id", "event_type",
             (F.col("ts") - F.expr(f"INTERVAL {EVENT_SHIFT_DAYS} DAYS")).alias("event_time"),
             F.get_json_object("props", "$.k").cast("int").alias("k"),
         )
 
-    def logins(self) -> DataFrame:
-        return self._events(["error"]).select(
+    def logins(self, days: int | None = None) -> DataFrame:
+        return self._events(["error"], days).select(
             F.col("user_id").alias("customer_id"),
             F.col("event_time").alias("login_date"),
             F.concat(F.lit(IP_PREFIX), F.col("k").cast("string")).alias("ip_address"),
         )
 
-    def campaigns(self) -> DataFrame:
-        """Campaign documents: one per (customer, campaign, block of
-        ``DOCUMENT_SPAN`` event ids), holding its interactions as an array.
-        The block bounds every document, whatever a customer's activity."""
-        ev = self._events(list(ACTIONS))
+    def campaigns(self, days: int | None = None) -> DataFrame:
+        """Campaign documents, one per event: no document grows with a
+        customer's activity, and making them needs no shuffle."""
+        ev = self._events(list(ACTIONS), days)
         action = F.create_map(*[F.lit(x) for kv in ACTIONS.items() for x in kv])[F.col("event_type")]
         interaction = F.struct(
             F.concat(F.lit("I"), F.col("event_id").cast("string")).alias("InteractionID"),
@@ -128,24 +123,18 @@ class Fixture:
             _pick(CHANNELS, F.col("k")).alias("Channel"),
             action.alias("Action"),
         )
-        return (
-            ev.groupBy(
-                F.col("user_id").alias("CustomerID"),
-                F.concat(F.lit("CMP-"), (F.col("k") % CAMPAIGNS).cast("string")).alias("CampaignID"),
-                F.floor(F.col("event_id") / DOCUMENT_SPAN).alias("_block"),
-            )
-            .agg(
-                F.struct(
-                    F.count_if(F.col("event_type") == "view").cast("int").alias("Opens"),
-                    F.count_if(F.col("event_type") == "click").cast("int").alias("Clicks"),
-                ).alias("Engagement"),
-                F.collect_list(interaction).alias("Interactions"),
-            )
-            .drop("_block")
+        return ev.select(
+            F.col("user_id").alias("CustomerID"),
+            F.concat(F.lit("CMP-"), (F.col("k") % CAMPAIGNS).cast("string")).alias("CampaignID"),
+            F.struct(
+                (F.col("event_type") == "view").cast("int").alias("Opens"),
+                (F.col("event_type") == "click").cast("int").alias("Clicks"),
+            ).alias("Engagement"),
+            F.array(interaction).alias("Interactions"),
         )
 
-    def support(self) -> DataFrame:
-        return self._events(["error"]).select(
+    def support(self, days: int | None = None) -> DataFrame:
+        return self._events(["error"], days).select(
             F.col("user_id").alias("CustomerID"),
             F.concat(F.lit("T"), F.col("event_id").cast("string")).alias("TicketID"),
             F.col("event_time").alias("Timestamp"),

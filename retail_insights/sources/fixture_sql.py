@@ -26,7 +26,6 @@ def _case_pick(values: list[str], expr: str) -> str:
 _ACTION_SQL = "CASE event_type " + " ".join(
     f"WHEN '{k}' THEN '{v}'" for k, v in fx.ACTIONS.items()) + " END"
 _ENGAGEMENT_TYPES = ", ".join(f"'{k}'" for k in fx.ACTIONS)
-_DOC = f"user_id, k % {fx.CAMPAIGNS}, event_id // {fx.DOCUMENT_SPAN}"
 
 BINDING = f"""
 b_customers AS (
@@ -77,8 +76,8 @@ b_logins AS (
 b_interactions AS (
     SELECT user_id AS CustomerID,
            'CMP-' || CAST(k % {fx.CAMPAIGNS} AS VARCHAR) AS CampaignID,
-           CAST(count(*) FILTER (WHERE event_type = 'view') OVER (PARTITION BY {_DOC}) AS INTEGER) AS Opens,
-           CAST(count(*) FILTER (WHERE event_type = 'click') OVER (PARTITION BY {_DOC}) AS INTEGER) AS Clicks,
+           CAST(event_type = 'view' AS INTEGER) AS Opens,
+           CAST(event_type = 'click' AS INTEGER) AS Clicks,
            'I' || CAST(event_id AS VARCHAR) AS InteractionID,
            event_time AS Timestamp,
            {_case_pick(fx.CHANNELS, 'k')} AS Channel,

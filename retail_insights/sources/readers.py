@@ -4,8 +4,17 @@ catalog tables.  Each returns a lazy DataFrame; none runs an action.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    NumericType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 
 def read_jdbc(
@@ -14,8 +23,8 @@ def read_jdbc(
     table: str,
     properties: dict[str, str] | None = None,
     partition_column: str | None = None,
-    lower_bound: int | None = None,
-    upper_bound: int | None = None,
+    lower_bound: int | str | None = None,
+    upper_bound: int | str | None = None,
     num_partitions: int | None = None,
     fetch_size: int | None = None,
 ) -> DataFrame:
@@ -24,7 +33,8 @@ def read_jdbc(
     Without a partition column the read is one query in one task.  With
     ``partition_column``/bounds/``num_partitions`` Spark issues that many range
     queries in parallel (the bounds only shape the ranges; rows outside them
-    are still read by the first and last range).  Filters and projections on
+    are still read by the first and last range); a date or timestamp column
+    takes its bounds as ISO text.  Filters and projections on
     the result are pushed into the SQL sent to the database.
     Credentials come in ``properties`` from the caller, never from code.
     """
@@ -51,11 +61,75 @@ def read_documents(
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Read a document-store export (JSON lines or Parquet) with nested
-    fields.  Pass ``schema`` to skip inference and keep types stable."""
-    reader = spark.read.format(format).options(**(options or {}))
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(path)
+    fields.  Pass ``schema`` to skip inference and keep types stable; a row
+    that does not fit a declared schema then stops the read (``FAILFAST``),
+    unless ``options`` name another mode."""
+    return _reader(spark, format, options, schema).load(path)
+
+
+def read_typed_documents(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    item: str | None = "Item",
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """Read a JSON-lines export whose values carry their type, such as
+    ``{"Item": {"CustomerID": {"N": "7"}, "Issue": {"M": {"Status": {"S": "Open"}}}}}``,
+    as plain documents of ``schema``.  ``item`` names the field around each
+    document (None: no such field).  A document in which a field's value has
+    another type than the schema's stops the read."""
+    typed = _typed(schema)["M"].dataType
+    if item is not None:
+        typed = StructType([StructField(item, typed)])
+    df = _reader(spark, "json", options, typed).load(path)
+    if item is not None:
+        # A line without the item field is no document of such an export.
+        df = df.select(F.when(F.col(item).isNotNull(), F.col(item)).otherwise(
+            F.raise_error(F.lit(f"a document has no field {item}"))).alias("_d"))
+        root = lambda name: F.col("_d")[name]
+    else:
+        root = F.col
+    return df.select([_plain(root(f.name), f.dataType, f.name).alias(f.name) for f in schema.fields])
+
+
+def _typed(kind: DataType) -> StructType:
+    """The typed form of a value: one field per tag that can hold it."""
+    if isinstance(kind, StructType):
+        inner = StructType([StructField(f.name, _typed(f.dataType)) for f in kind.fields])
+        tags = [StructField("M", inner)]
+    elif isinstance(kind, ArrayType):
+        tags = [StructField("L", ArrayType(_typed(kind.elementType)))]
+    elif isinstance(kind, BooleanType):
+        tags = [StructField("BOOL", BooleanType())]
+    elif isinstance(kind, NumericType):
+        tags = [StructField("N", StringType())]
+    else:
+        tags = [StructField("S", StringType())]
+    return StructType([*tags, StructField("NULL", BooleanType())])
+
+
+def _plain(value: Column, kind: DataType, path: str) -> Column:
+    """The plain value; a value under none of the expected tags raises."""
+    if isinstance(kind, StructType):
+        tag, inner = "M", F.struct(*[
+            _plain(value["M"][f.name], f.dataType, f"{path}.{f.name}").alias(f.name) for f in kind.fields])
+    elif isinstance(kind, ArrayType):
+        tag, inner = "L", F.transform(value["L"], lambda x: _plain(x, kind.elementType, f"{path}[]"))
+    else:
+        tag = "BOOL" if isinstance(kind, BooleanType) else "N" if isinstance(kind, NumericType) else "S"
+        inner = value[tag].cast(kind)
+    wrong = F.raise_error(F.lit(f"{path}: no value of type {tag}"))
+    return F.when(value.isNull() | F.coalesce(value["NULL"], F.lit(False)), F.lit(None)).when(
+        value[tag].isNotNull(), inner).otherwise(wrong).cast(kind)
+
+
+def _reader(spark, format, options, schema):
+    opts = dict(options or {})
+    if schema is not None and format in ("csv", "json"):
+        opts.setdefault("mode", "FAILFAST")
+    reader = spark.read.format(format).options(**opts)
+    return reader.schema(schema) if schema is not None else reader
 
 
 def read_files(
@@ -65,24 +139,12 @@ def read_files(
     options: dict[str, str] | None = None,
     schema: StructType | None = None,
 ) -> DataFrame:
-    """Generic file read; CSV defaults to a header row."""
-    opts = {"header": "true"} if format == "csv" and options is None else (options or {})
-    reader = spark.read.format(format).options(**opts)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(path)
+    """Generic file read; CSV defaults to a header row.  With a ``schema`` a
+    row that does not fit it stops the read, as in ``read_documents``."""
+    opts = {"header": "true"} if format == "csv" and options is None else options
+    return _reader(spark, format, opts, schema).load(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """CSV with a header row.  Without ``schema`` every column is a string."""
     return read_files(spark, path, "csv", {"header": "true"}, schema)
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet dataset; AQE sizes the partitions, no fixed repartition."""
-    return spark.read.parquet(path)
-
-
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """A catalog table, e.g. ``bronze.orders_raw``."""
-    return spark.read.table(name)

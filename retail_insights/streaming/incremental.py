@@ -27,9 +27,8 @@ def incremental_files(
     options: dict[str, str] | None = None,
     max_files_per_trigger: int | None = None,
     partition_by: list[str] | None = None,
-) -> int:
-    """Append the rows of new files under ``source`` to Parquet at
-    ``target``; returns the number of input rows processed by this run."""
+) -> None:
+    """Append the rows of new files under ``source`` to Parquet at ``target``."""
     opts = {"header": "true"} if format == "csv" and options is None else dict(options or {})
     if max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
@@ -47,4 +46,3 @@ def incremental_files(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
