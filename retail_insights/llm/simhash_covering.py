@@ -104,7 +104,8 @@ def _bucket_links(max_distance: int):
             us, vs = [], []
             for found in batch.column(0):
                 a = found.values.to_numpy()
-                near = np.bitwise_count(a[:, None] ^ a[None, :]) <= max_distance
+                bits = a.view(np.uint64)  # signed numbers would be counted by their absolute value
+                near = np.bitwise_count(bits[:, None] ^ bits[None, :]) <= max_distance
                 waiting = np.ones(len(a), bool)
                 while waiting.any():
                     stack = [int(waiting.argmax())]
