@@ -1,0 +1,214 @@
+"""Line cleaning, language, secrets and personal data against plain Python."""
+
+import math
+import re
+from collections import Counter, defaultdict
+from itertools import product
+from random import Random
+
+import numpy as np
+import pytest
+from conftest import SF_SMALL
+
+from retail_insights.llm import pii_boost, ppm_language, quality_lines, secret_crf
+from retail_insights.llm.oracle import ORACLE_SQL
+from retail_insights.llm.queries import QUERIES
+from tools.check_oracle import duck_connect, rows_of
+
+EDGE = [(1, None), (2, ""), (3, " \t\n"), (4, "a b c d e " * 30), (4, "a b c d e " * 30), (None, "one two\nthree"),
+        (5, "é ü " * 20 + "\nx\nx\n\nx"), (6, "Home | About | News | Contact\n" + "Real words stand here. " * 5),
+        (7, "word " * 3000 + "."), (8, "#$ " * 40 + "\n1234 5678 !!!")]
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_queries_match_duckdb(spark, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    got = [tuple(r) for r in df.collect()]
+    res = duck_connect(SF_SMALL).execute(ORACLE_SQL[name])
+    cols = [c[0] for c in res.description]
+    assert sorted(cols) == sorted(df.columns)
+    assert rows_of(df.columns, got) == rows_of(cols, res.fetchall())
+
+
+def _base_statistics(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    fives = Counter(tuple(words[i:i + 5]) for i in range(len(words) - 4))
+    covered = {i + k for i in range(len(words) - 4) if fives[tuple(words[i:i + 5])] > 1 for k in range(5)}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    n = len(words)
+    return (n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)),
+            len(covered), n < 10 or 100 * len(covered) > 20 * n)
+
+
+def test_line_quality_statistics(spark):
+    docs = EDGE + [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = quality_lines.line_quality(df).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed").collect()
+    want = [(i, *_base_statistics(t)) for i, t in docs]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_bad_lines_go_and_then_the_document(spark):
+    prose = "These sentences are quite ordinary and end as they should."
+    menu = "Home page | Latest news | Our shop | About us | Contact"
+    docs = [(1, "\n".join([prose, prose[::-1] + ".", menu])), (2, "\n".join([menu + " x%d" % i for i in range(9)] + [prose])),
+            (3, prose + "\nLicensed under the Public Terms."), (4, prose + "\nthis line just stops without any end")]
+    out = {r.doc_id: r for r in quality_lines.line_quality(
+        spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert out[1].kept and out[1].n_bad_lines == 1 and menu not in out[1].clean_text
+    assert not out[2].kept and not out[2].base_failed
+    assert out[3].clean_text == prose and out[4].clean_text == prose
+
+
+def _code_length(model, text, lang):
+    """Bits by walking each byte's contexts, longest first."""
+    order = model["order"]
+    counts = [defaultdict(Counter) for _ in range(order + 1)]
+    known = [Counter() for _ in range(order + 1)]
+    for which, gram, n in zip(model["lang"].tolist(), model["gram"].tolist(), model["n"].tolist()):
+        digits = [gram // 257 ** (order - k) % 257 for k in range(order + 1)]
+        for k in range(order + 1):
+            context = tuple(digits[order - k:order])
+            known[k][context] += n
+            if which == lang:
+                counts[k][context][digits[order]] += n
+    full, bits = [0] * order + [b + 1 for b in text], 0.0
+    for i in range(order, len(full)):
+        k = 0
+        while k < order and known[k + 1][tuple(full[i - k - 1:i])] >= ppm_language.MIN_CONTEXT:
+            k += 1
+        while True:
+            seen = counts[k].get(tuple(full[i - k:i]))
+            if seen:
+                total = sum(seen.values()) + len(seen)
+                if full[i] in seen:
+                    bits -= math.log2(seen[full[i]] / total)
+                    break
+                bits -= math.log2(len(seen) / total)
+            if k == 0:
+                bits += 8
+                break
+            k -= 1
+    return bits
+
+
+@pytest.fixture(scope="module")
+def languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    return docs, ppm_language.train(docs, train_docs=100)
+
+
+def test_ppm_code_lengths_are_exact(languages, monkeypatch):
+    _, model = languages
+    trees = ppm_language.ContextTrees(model)
+    texts = [b"", b"a", "Über déjà ñ \x00\U0001f600".encode(), b"the and of there " * 5]
+    want = [[_code_length(model, t, k) for k in range(len(model["langs"]))] for t in texts]
+    assert np.allclose(trees.code_lengths(texts), want, rtol=1e-4)
+    monkeypatch.setattr(ppm_language, "UNIT", 7)  # a long text in stretches
+    assert np.allclose(trees.code_lengths(texts), want, rtol=1e-4)
+
+
+def test_language_on_held_out_documents(spark, languages):
+    docs, model = languages
+    out = ppm_language.predict_language(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in out if r.held_out]
+    assert len(held) > 100 and sum(r.lang_pred == r.lang for r in held) / len(held) > 0.97
+    assert all(0 <= r.score <= 1 for r in out)
+
+
+def test_language_edges(spark, languages):
+    _, model = languages
+    out = ppm_language.predict_language(spark.createDataFrame(EDGE, "doc_id long, text string"), model).collect()
+    assert len(out) == len(EDGE)
+    for r in out:
+        if r.doc_id in (1, 2, 3):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+        else:
+            assert r.lang_pred in model["langs"]
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string")
+    assert ppm_language.train(empty)["langs"] == []
+    assert ppm_language.predict_language(empty, ppm_language.train(empty)).count() == 0
+    none = ppm_language.predict_language(spark.createDataFrame(EDGE, "doc_id long, text string"),
+                                         ppm_language.train(empty))
+    assert {r.lang_pred for r in none.collect()} == {"und"}
+
+
+def test_secret_base_spans():
+    hexes = "0123456789abcdef" * 2
+    text = f'é api_key="abc123" PASSWORD : x{"y" * 9} token=abc AKIA{"A" * 16} AKIAB {hexes} {hexes[:23]}'
+    got = [(secret_crf.KINDS[k], text[a:b]) for k, a, b in secret_crf.base_spans(text)]
+    assert got == [("assign", 'api_key="abc123'), ("assign", "PASSWORD : x" + "y" * 9), ("access", "AKIA" + "A" * 16),
+                   ("hex", hexes)]
+    assert secret_crf.base_spans("ſecret=abcdefgh toKen=abcdefgh") == []
+
+
+def test_viterbi_and_split_decoding_are_exact():
+    rng = np.random.default_rng(4)
+    tagger = secret_crf.Tagger()
+    tagger.t = rng.normal(size=(3, 3))
+    for n in range(1, 7):
+        e = rng.normal(size=(n, 3)) * 2
+
+        def score(tags, e=e):
+            path = [0, *tags]
+            return (sum(e[i, t] for i, t in enumerate(tags)) + sum(tagger.t[a, b] for a, b in zip(path, path[1:]))
+                    + tagger.t[tags[-1], 0])
+
+        best = max(product(range(3), repeat=n), key=score)
+        assert tuple(tagger.viterbi(e.tolist())) == best
+
+
+def test_secret_edges_and_masking(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    tagger = secret_crf.train(docs)
+    assert tagger.trained
+    text = 'é x token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" y'
+    df = spark.createDataFrame([*EDGE, (20, text)], "doc_id long, text string")
+    out = {r.doc_id: r for r in secret_crf.secrets(df, tagger).collect()}
+    assert out[20].n_assign == 1 and out[20].n_hex == 1
+    assert out[20].spans.startswith(f"assign:4:{len(text) - 3},hex:")
+    empty = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+    assert all(out[k].spans == "" and out[k].base_sha256 == empty for k in (1, 2, 3))
+    masked = {r.doc_id: r.text for r in secret_crf.masked(df, tagger).collect()}
+    assert masked[20] == "é x [SECRET]\" y" and masked[1] is None and masked[2] == ""
+    # Ordinary documents stay as they are.
+    clean = secret_crf.secrets(docs, tagger).where("n_assign + n_access + n_hex = 0 and n_added > 0").count()
+    assert clean <= 2
+
+
+def test_personal_data_base_spans_equal_plain_patterns():
+    rng = Random(3)
+    email = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+    for _ in range(5000):
+        text = "".join(rng.choice("ab.@-+%1 9(2)é_:25") for _ in range(rng.randrange(45)))
+        got = pii_boost.base_spans(text)
+        assert [(a, b) for k, a, b in got if k == 0] == [m.span() for m in re.finditer(email, text)]
+        ips = [m.span() for m in re.finditer(pii_boost.IP, text)
+               if all(int(p) <= 255 for p in m.group().split("."))]
+        assert [(a, b) for k, a, b in got if k == 1] == ips
+    text = "4539 1488 0343 6467, 1.2.3.256 10.0.0.1 +1 (906) 555-7738 4539148803436468"
+    assert [(pii_boost.KINDS[k], text[a:b]) for k, a, b in pii_boost.base_spans(text)] == [
+        ("ip", "10.0.0.1"), ("card", "4539 1488 0343 6467"), ("phone", "+1 (906) 555-7738")]
+
+
+def test_personal_data_model(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    forest = pii_boost.train(docs)
+    assert forest.trees and forest.threshold <= 1
+    # Documents without base spans are left alone.
+    assert pii_boost.personal_data(docs, forest).where(
+        "n_email + n_ip + n_card + n_phone = 0 and n_added > 0").count() <= 1
+    out = {r.doc_id: r for r in pii_boost.personal_data(
+        spark.createDataFrame([*EDGE, (20, "é a.b@c.de x")], "doc_id long, text string"), forest).collect()}
+    assert out[20].spans == "email:2:10" and out[1].spans == "" and len(out) == 10
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert not pii_boost.train(empty).trees
+    assert pii_boost.personal_data(empty, pii_boost.Forest()).count() == 0
+
+
+def test_long_runs_stay_linear():
+    for text in ("a" * 300_000, "1" * 300_000, "a." * 150_000, "+" + "1 " * 100_000, "0123456789abcdef" * 20_000):
+        pii_boost.base_spans(text)
+        pii_boost.candidates(text + " at ")
+        secret_crf.base_spans(text)

@@ -1,0 +1,164 @@
+"""Token records, packing and the pipeline."""
+
+import zlib
+from random import Random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from conftest import SF_SMALL
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from retail_insights.llm import bin_packing, decontaminate, secret_crf, simhash_covering, token_records
+from retail_insights.llm.common import scratch_path
+from retail_insights.llm.tokens import ChunkEncoder
+
+TOK = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+EDGE = [(5, None), (3, ""), (4, "a  b\n\n c"), (None, "no id"), (7, "same"), (7, "same"), (7, "other"),
+        (9, "<|endoftext|> x<|endoftext|>"), (8, "word " * 4000), (6, "'s it's \t é\u0085漢字")]
+
+
+def _ids(text):
+    return TOK.encode(text or "", add_special_tokens=False).ids + [2]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list("ab \n\t'sé1.,漢\x1c\u0085\u3000")) | st.characters(codec="utf-8"),
+                        max_size=60), max_size=5))
+def test_chunks_give_the_ids_of_whole_texts(texts):
+    encoder = ChunkEncoder(entries=20)
+    texts = [*texts, *texts[::-1], "a <|endoftext|> b<|endoftext|>"]
+    got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)]
+    assert got == [_ids(t)[:-1] for t in texts]
+
+
+def test_records_round_trip(spark):
+    docs = EDGE + [(100 + r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    folder = scratch_path(spark, "records-test")
+    token_records.write_records(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), folder)
+    got = sorted(map(tuple, token_records.read_records(spark, folder).collect()), key=lambda r: r[3])
+    assert [r[0] for r in got] == sorted((i for i, _ in docs), key=lambda i: (i is not None, i))
+    start = 0
+    by_id = {}
+    for i, t in docs:
+        ids = _ids(t)
+        by_id.setdefault(i, set()).add((len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    for doc, n, crc, at in got:
+        assert at == start and (n, crc) in by_id[doc]
+        start += n
+    # The index reads any record alone.
+    row = spark.read.parquet(f"{folder}/index").where("id = 8").first()
+    with open(f"{folder}/records/{row.file}".removeprefix("file:"), "rb") as f:
+        f.seek(row.offset)
+        data = f.read(row.n_bytes)
+    assert len(np.frombuffer(token_records.unframe(data), "<u2", offset=token_records.BODY_BYTES)) == row.n_tokens
+    for at in (0, 9, 20, len(data) - 1):
+        broken = bytearray(data)
+        broken[at] ^= 1
+        with pytest.raises(ValueError):
+            token_records.unframe(bytes(broken))
+
+
+def test_no_documents(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    folder = scratch_path(spark, "records-empty")
+    token_records.write_records(empty, folder)
+    assert token_records.read_records(spark, folder).count() == 0
+    assert bin_packing.pack_documents(empty).count() == 0
+
+
+def test_plans_place_every_piece():
+    rng = Random(3)
+    for _ in range(150):
+        capacity = rng.choice([1, 7, 30, 100, 1024])
+        histogram = {}
+        for _ in range(rng.randrange(1, 120)):
+            s = rng.randrange(1, capacity + 1)
+            histogram[s] = histogram.get(s, 0) + rng.randrange(1, 40)
+        plan = bin_packing.plan_bins(histogram, capacity)
+        placed = {}
+        for bins, items in plan:
+            assert bins > 0 and sum(s * k for s, k in items) <= capacity
+            assert sum(k for s, k in items if 3 * s > capacity) <= 2
+            for s, k in items:
+                placed[s] = placed.get(s, 0) + bins * k
+        assert placed == histogram
+    # Large pieces alone: as many pairs as any matching can make.
+    assert sum(b for b, _ in bin_packing.plan_bins({60: 2, 50: 1, 40: 3, 35: 1}, 100)) == 4
+
+
+def _check_packing(rows, docs, capacity):
+    wanted = {}
+    for i, t in docs:
+        wanted.setdefault(i, []).append(_ids(t))
+    sequences = {}
+    pieces = {}
+    for r in rows:
+        assert r.length == capacity or r.piece == 0
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        pieces.setdefault(r.doc_id, []).append((r.piece, r.start, r.length, r.ids_crc32))
+    for at in sequences.values():
+        end = 0
+        for offset, length in sorted(at):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    for i, texts in wanted.items():
+        want = []
+        for ids in texts:
+            cut = [0, *range((len(ids) - 1) % capacity + 1, len(ids) + 1, capacity)]
+            want += [(k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes()))
+                     for k, (a, b) in enumerate(zip(cut, cut[1:]))]
+        assert sorted(pieces[i]) == sorted(want)
+    return len(sequences)
+
+
+def test_packing(spark):
+    docs = EDGE + [(100 + r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    out = bin_packing.pack_documents(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    n = _check_packing(out, docs, 1024)
+    total = sum(len(_ids(t)) for _, t in docs)
+    assert n <= 1.02 * total / 1024 + 1
+
+
+def test_pipeline_stages(spark):
+    base = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60)
+    item = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").first().text
+    secret = 'x token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" y'
+    first = base.orderBy("doc_id").first()
+    extra = spark.createDataFrame(
+        [(9000, None, None, "s", 0), (9001, "123 456", "en", "s", 7), (9002, first.text, "en", "s", 1),
+         (9003, first.text + "\n" + item, "en", "s", 1), (9004, secret, "en", "s", len(secret))], base.schema)
+    docs = base.union(extra)
+    stages = dict(corpus_pipeline.STAGES)
+    spoken = stages["language ID"](spark, docs, SF_SMALL)
+    assert spoken.columns == docs.columns
+    assert {r.doc_id for r in docs.collect()} - {r.doc_id for r in spoken.collect()} == {9000, 9001}
+    single = stages["SimHash near-dedup"](spark, spoken, SF_SMALL)
+    groups = simhash_covering.simhash_components(spoken).collect()
+    assert single.columns == docs.columns
+    assert sorted(r.doc_id for r in single.collect()) == sorted({r.component_id for r in groups})
+    clean = stages["benchmark decontamination"](spark, single, SF_SMALL)
+    index = decontaminate.PassageIndex(
+        [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()])
+    assert {r.doc_id for r in clean.collect()} == {
+        r.doc_id for r in single.collect() if not index.search([r.text.encode()])}
+    assert 9003 not in {r.doc_id for r in clean.collect()}
+    masked = stages["secret scans"](spark, clean, SF_SMALL)
+    assert masked.columns == docs.columns
+    for r in masked.collect():
+        assert r.n_chars == len(r.text) and not secret_crf.base_spans(r.text)
+        if r.doc_id == 9004:
+            assert r.text == 'x [SECRET]" y'
+    kept = [(r.doc_id, r.text) for r in masked.collect()]
+    packed = stages["best-fit packing"](spark, masked, SF_SMALL).collect()
+    _check_packing(packed, kept, 1024)
+
+
+def test_pipeline_runs_whole(spark):
+    out = corpus_pipeline.run(spark, SF_SMALL)
+    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert out.select("doc_id").distinct().count() > 150
