@@ -60,21 +60,6 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the session's checkpoint folder, or ``fallback`` when it has none.
-
-    Only tests and local benchmarks pass a fallback.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = fallback
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")

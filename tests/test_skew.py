@@ -97,3 +97,18 @@ def test_hot_customer_operators_are_exact(spark, skew_conf):
     direct = fact.filter(F.col("customer_id") == HOT_CUSTOMER).agg(F.sum("sales_amount")) \
         .collect()[0][0]
     assert total == direct
+
+
+def test_hot_product_in_the_sales_fact(spark, skew_conf):
+    f = Fixture(spark, SF_MID)
+    items = f.order_items().repartition(8).withColumn(
+        "product_id", F.when(F.xxhash64("order_id", "quantity") % 3 == 0, F.lit(11).cast("bigint"))
+        .otherwise(F.col("product_id")))
+    fact = sales_fact(f.orders(), items, f.products())
+    plan = _final_plan(fact.groupBy("order_year").agg(F.count(F.lit(1)).alias("n")))
+    # The semi-join with the products is split at the hot product.
+    assert re.search(r"SortMergeJoin\(skew=true\).*LeftSemi", plan)
+    assert fact.count() == items.count()
+    hot = items.filter(F.col("product_id") == 11)
+    assert hot.count() > items.count() / 4
+    assert fact.filter(F.col("product_id") == 11).count() == hot.count()
