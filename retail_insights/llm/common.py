@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import tempfile
 import uuid
 
@@ -26,15 +27,15 @@ def shared_folder(spark: SparkSession) -> str:
     In local mode, where one machine is the whole cluster, an unset folder is
     replaced by a temporary one; anywhere else an unset folder is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
-    master = spark.sparkContext.master
-    if not master.startswith("local") or master.startswith("local-cluster"):
-        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for it")
-    root = tempfile.mkdtemp(prefix="llm-shared-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for it")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="llm-shared-"))
+        root = context.getCheckpointDir()
+    # One spelling of local URIs, which all file libraries take.
+    return re.sub("^file:/(?!/)", "file:///", root)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
