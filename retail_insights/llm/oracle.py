@@ -23,6 +23,8 @@ def _quality() -> str:
     ended = _any([f"ends_with(line, {_text(e)})" if "\r" not in e else f"ends_with(line, {_text(e[:-1])} || chr(13))"
                   for e in q.ENDINGS])
 
+    ended = _any([ended, *[f"contains(line, {_text(e)})" for e in q.INNER_STOPS]])
+
     def count(chars: str) -> str:
         return f"(length(line) - length(regexp_replace(line, {_text(chars)}, '', 'g')))"
 

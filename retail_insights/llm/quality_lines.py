@@ -49,10 +49,12 @@ BOILERPLATE = ["lorem ipsum", "all rights reserved", "enable javascript", "javas
 #: Each phrase above holds one of these, so a text without them needs no look at its lines.
 BOILERPLATE_STEMS = ["lorem ipsum", "reserved", "javascript", "cookie", "policy", "terms of",
                      "licens", "released under", "copyright"]
-#: A line without a sentence end fails from this many words on.
+#: A line that has a sentence end inside is prose even if its own end is cut off.
+INNER_STOPS = [". ", "! ", "? ", "。"]
+#: Another line without a sentence end fails from this many words on.
 MIN_UNENDED_WORDS = 4
 #: A document is kept if its remaining lines hold at least this share of its word characters.
-MIN_KEPT_PCT = 50
+MIN_KEPT_PCT = 20
 
 
 def _words(text: Column) -> Column:
@@ -74,7 +76,7 @@ def _any(tests: list[Column]) -> Column:
 def _line_fails(line: Column) -> Column:
     """Cheap tests first: ``|`` between them stops at the first that holds.
     ``n_symbols``, ``n_separators``, ``shouts`` and ``boiler`` describe the document."""
-    unended = ~_any([line.endswith(e) for e in ENDINGS]) & (
+    unended = ~_any([line.endswith(e) for e in ENDINGS]) & ~_any([line.contains(e) for e in INNER_STOPS]) & (
         F.size(F.split(F.trim(line), WS_CLASS + "+")) >= MIN_UNENDED_WORDS)
     low = F.lower(line)
     shout = F.col("shouts") & (

@@ -52,7 +52,7 @@ def test_line_quality_statistics(spark):
 def test_bad_lines_go_and_then_the_document(spark):
     prose = "These sentences are quite ordinary and end as they should."
     menu = "Home page | Latest news | Our shop | About us | Contact"
-    docs = [(1, "\n".join([prose, prose[::-1] + ".", menu])), (2, "\n".join([menu + " x%d" % i for i in range(9)] + [prose])),
+    docs = [(1, "\n".join([prose, prose[::-1] + ".", menu])), (2, "\n".join([" | ".join(f"p{i}{c}" for c in "abcdefgh") for i in range(40)] + [prose])),
             (3, prose + "\nLicensed under the Public Terms."), (4, prose + "\nthis line just stops without any end")]
     out = {r.doc_id: r for r in quality_lines.line_quality(
         spark.createDataFrame(docs, "doc_id long, text string")).collect()}
@@ -122,7 +122,7 @@ def test_language_edges(spark, languages):
     out = ppm_language.predict_language(spark.createDataFrame(EDGE, "doc_id long, text string"), model).collect()
     assert len(out) == len(EDGE)
     for r in out:
-        if r.doc_id in (1, 2, 3):
+        if r.doc_id in (1, 2, 3, 8):
             assert (r.lang_pred, r.score) == ("und", 0.0)
         else:
             assert r.lang_pred in model["langs"]
@@ -140,7 +140,7 @@ def test_secret_base_spans():
     got = [(secret_crf.KINDS[k], text[a:b]) for k, a, b in secret_crf.base_spans(text)]
     assert got == [("assign", 'api_key="abc123'), ("assign", "PASSWORD : x" + "y" * 9), ("access", "AKIA" + "A" * 16),
                    ("hex", hexes)]
-    assert secret_crf.base_spans("ſecret=abcdefgh toKen=abcdefgh") == []
+    assert secret_crf.base_spans("\u017fecret=abcdefgh to\u212aen=abcdefgh") == []
 
 
 def test_viterbi_and_split_decoding_are_exact():
@@ -187,7 +187,7 @@ def test_personal_data_base_spans_equal_plain_patterns():
         ips = [m.span() for m in re.finditer(pii_boost.IP, text)
                if all(int(p) <= 255 for p in m.group().split("."))]
         assert [(a, b) for k, a, b in got if k == 1] == ips
-    text = "4539 1488 0343 6467, 1.2.3.256 10.0.0.1 +1 (906) 555-7738 4539148803436468"
+    text = "4539 1488 0343 6467, 1.2.3.256 10.0.0.1 +1 (906) 555-7738, 4539148803436468"
     assert [(pii_boost.KINDS[k], text[a:b]) for k, a, b in pii_boost.base_spans(text)] == [
         ("ip", "10.0.0.1"), ("card", "4539 1488 0343 6467"), ("phone", "+1 (906) 555-7738")]
 
