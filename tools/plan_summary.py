@@ -69,8 +69,7 @@ def main(argv):
     print(f"Generated by `python tools/plan_summary.py {sf_dir}`: final adaptive plans after "
           "running each query with broadcasting switched off.  'shuffles run' counts exchanges "
           "that executed, 'reused' those AQE served from an identical exchange of the same "
-          "query.  The event-derived tables (logins, campaigns, tickets) filter on a shifted "
-          "timestamp, which cannot reach the scan; a stored date column would.\n")
+          "query.\n")
     print("| query | shuffles run | reused | broadcasts | joins | windows | WindowGroupLimit | "
           "pushed predicates | Python |")
     print("|---|---|---|---|---|---|---|---|---|")
