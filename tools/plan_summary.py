@@ -64,6 +64,7 @@ def main(argv):
     spark = build_session("local[8]", shuffle_partitions=16, extra={
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.maxMetadataStringLength": "2000",
     })
     print("# Plans of the registered queries (shuffle joins, as on a large cluster)\n")
     print(f"Generated by `python tools/plan_summary.py {sf_dir}`: final adaptive plans after "
