@@ -200,15 +200,16 @@ class ContextTrees:
         return best, score, low
 
 
-def _predictor(model: dict, columns: int, keep_only: bool):
-    """Rows of (columns..., text, has a letter) -> predictions, or the accepted rows."""
+def _predictor(model: dict, text_at: int, keep_only: bool):
+    """Rows whose last column says whether the text has a letter -> their
+    columns but text and last with the prediction, or the accepted rows."""
 
     def run(batches):
         import pyarrow as pa
 
         trees = ContextTrees(model) if len(model["langs"]) else None
         for batch in batches:
-            texts, letters = batch.column(columns), batch.column(columns + 1).to_pylist()
+            texts, letters = batch.column(text_at), batch.column(batch.num_columns - 1).to_pylist()
             use = [k for k, x in enumerate(letters) if x and trees]
             lang, score, bits = [UNDETERMINED] * batch.num_rows, [0.0] * batch.num_rows, [None] * batch.num_rows
             for a in range(0, len(use), 1024):
@@ -216,14 +217,14 @@ def _predictor(model: dict, columns: int, keep_only: bool):
                 raw = [texts[k].as_py().encode("utf-8", "surrogatepass") for k in part]
                 for k, r, b, s, n in zip(part, raw, *(x.tolist() for x in trees.predict(raw))):
                     lang[k], score[k], bits[k] = trees.langs[b], min(1.0, s), n / len(r)
+            names = batch.schema.names
             if keep_only:
                 ok = pa.array([x != UNDETERMINED for x in lang], pa.bool_())
-                yield pa.RecordBatch.from_arrays(batch.columns[:columns], names=batch.schema.names[:columns]).filter(ok)
+                yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=names[:-1]).filter(ok)
             else:
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:columns], pa.array(lang), pa.array(score, pa.float64()),
-                     pa.array(bits, pa.float64())],
-                    names=[*batch.schema.names[:columns], "lang_pred", "score", "bits_per_byte"])
+                    [*batch.columns[:text_at], pa.array(lang), pa.array(score, pa.float64()), pa.array(bits, pa.float64())],
+                    names=[*names[:text_at], "lang_pred", "score", "bits_per_byte"])
 
     return run
 
@@ -242,9 +243,8 @@ def predict_language(docs: DataFrame, model: dict, id_col: str = "doc_id", text_
 
 def with_language(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """The rows whose text has a language, all columns kept."""
-    names = docs.columns
-    d = docs.select(*names, F.col(text_col).alias("_text"), _has_letter(F.col(text_col)).alias("_ok"))
-    return d.mapInArrow(_predictor(model, len(names), True), docs.schema)
+    d = docs.select(*docs.columns, _has_letter(F.col(text_col)).alias("_has_letter"))
+    return d.mapInArrow(_predictor(model, docs.columns.index(text_col), True), docs.schema)
 
 
 def op2_ppm_language(spark, sf_dir):
