@@ -31,8 +31,8 @@ EDIT_PCT = 6
 #: Items with more symbols are searched by windows of this many, half overlapping.
 WHOLE, WINDOW = 200, 160
 BLOCK_BYTES = 8 << 20
-#: Symbols of documents that a task handles at once (a longer document alone).
-UNIT = 4 << 20
+#: Bytes of documents that a task handles at once (a longer document alone).
+UNIT = 1 << 20
 HITS = "doc_id long, item_id long, start long, end long, edits int, n_windows int"
 
 
@@ -176,23 +176,23 @@ class PassageIndex:
         import numpy as np
 
         out: dict[tuple[int, int], list[int]] = {}
-        parts = [symbols(t) for t in texts]
         k = 0
         while k < len(texts):
             stop, size = k, 0
-            while stop < len(texts) and (stop == k or size + len(parts[stop][0]) <= UNIT):
-                size += len(parts[stop][0]) + 1
+            while stop < len(texts) and (stop == k or size + len(texts[stop]) <= UNIT):
+                size += len(texts[stop])
                 stop += 1
+            parts = [symbols(t) for t in texts[k:stop]]
             # Texts stand in one stretch, parted by a symbol that no window has.
-            code = np.concatenate([x for c, _ in parts[k:stop] for x in (c, np.zeros(1, np.uint8))])
-            starts = np.concatenate(([0], np.cumsum([len(c) + 1 for c, _ in parts[k:stop]])))
+            code = np.concatenate([x for c, _ in parts for x in (c, np.zeros(1, np.uint8))])
+            starts = np.concatenate(([0], np.cumsum([len(c) + 1 for c, _ in parts])))
             window, diagonal = self.bands(code)
             for a in range(0, len(window), 4096):
                 w = window[a:a + 4096]
                 edits, begin, end = self.verify(code, w, diagonal[a:a + 4096])
                 for i in np.flatnonzero(edits <= self.e[w]).tolist():
                     doc = int(np.searchsorted(starts, begin[i], "right")) - 1
-                    at = parts[k + doc][1]
+                    at = parts[doc][1]
                     b, f = int(begin[i] - starts[doc]), int(end[i] - starts[doc])
                     b, f = max(b, 0), min(f, len(at))
                     if b >= f:
