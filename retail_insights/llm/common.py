@@ -68,6 +68,11 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*names)
 
 
+def text_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Rows of texts are large: smaller Arrow batches keep a task's memory small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's context cleaner delete the shuffle files of finished steps;
     it acts when the JVM collects the plans that owned them."""
