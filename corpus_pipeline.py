@@ -20,22 +20,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_insights.llm import bin_packing, decontaminate, ppm_language, secret_crf, simhash_covering
-from retail_insights.llm.common import materialize, release, table
+from retail_insights.llm.common import materialize, release, table, text_batches
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     return ppm_language.with_language(docs, ppm_language.train(docs))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     return simhash_covering.one_of_each_group(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     return decontaminate.without_passages(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     clean = secret_crf.masked(docs, secret_crf.train(docs))
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -43,6 +47,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     return bin_packing.pack_documents(docs)
 
 
