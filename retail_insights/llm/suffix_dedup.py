@@ -216,8 +216,11 @@ def _cutter(length: int, g: int):
 
 
 def _sorted_ranges(groups: DataFrame, length: int) -> DataFrame:
-    """(key, piece, n, text) -> (key, piece, from, to), keys whole in a task."""
-    rows = groups.select("key", "piece", "n", "text").repartition("key").sortWithinPartitions("key")
+    """(key, piece, n, text) -> (key, piece, from, to), keys whole in a task.
+    Sorting costs far more than its bytes show, so the number of partitions is
+    fixed and not left to their size."""
+    n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = groups.select("key", "piece", "n", "text").repartition(n, "key").sortWithinPartitions("key")
     return rows.mapInArrow(_sorter(length), "key long, piece long, from long, to long")
 
 
