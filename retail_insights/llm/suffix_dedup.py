@@ -17,7 +17,8 @@ group are equal, so no group is ever too large for a task.
 
 Defined results: a null text counts as empty; texts shorter than ``length``
 keep all bytes; repeated rows are repeated text; rows with equal id and text
-get the same result; other columns (clashing names included) are ignored.
+get the same result, and texts under one id (or none) are told apart by their
+64-bit hash and length; other columns (clashing names included) are ignored.
 """
 
 from __future__ import annotations
@@ -101,8 +102,8 @@ def _segmenter(length: int, gram: int):
         from xxhash import xxh3_64_intdigest
 
         for batch in batches:
-            ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            texts = batch.column(2).to_pylist()
+            ids, hashes, sizes = (batch.column(k).to_pylist() for k in range(3))
+            texts = batch.column(3).to_pylist()
             group, size = [], 0
             tiles = [x for x in _tiles(texts, length) if len(x[2]) >= length]
             for i, tile in enumerate(tiles):
@@ -117,10 +118,10 @@ def _segmenter(length: int, gram: int):
                 shift = np.array([a for _, a, _ in group], np.int64)
                 texts_of = [group[o][0] for o in owner.tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids[k] for k in texts_of], pa.int64()), pa.array([hashes[k] for k in texts_of], pa.int32()),
-                     pa.array(start + shift[owner]), pa.array(run_.astype(np.int32)),
+                    [pa.array([ids[k] for k in texts_of], pa.int64()), pa.array([hashes[k] for k in texts_of], pa.int64()),
+                     pa.array([sizes[k] for k in texts_of], pa.int32()), pa.array(start + shift[owner]), pa.array(run_.astype(np.int32)),
                      pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), pa.array(place.astype(np.int32))],
-                    names=["doc_id", "dh", "start", "run", "anchor", "content", "place"])
+                    names=["doc_id", "dh", "size", "start", "run", "anchor", "content", "place"])
                 group, size = [], 0
 
     return run
@@ -290,22 +291,22 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_
     spark = docs.sparkSession
     d = only(docs, id_col, text_col).select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    d = d.select("doc_id", F.hash("text").alias("dh"), F.col("text").cast("binary").alias("text"))
+    d = d.select("doc_id", F.xxhash64("text").alias("dh"), F.octet_length("text").alias("size"), F.col("text").cast("binary").alias("text"))
     segments = materialize(d.mapInArrow(
         _segmenter(length, gram),
-        "doc_id long, dh int, start long, run int, anchor long, content long, place int"), "segments")
+        "doc_id long, dh long, size int, start long, run int, anchor long, content long, place int"), "segments")
     # Equal segments once, with their number and one of their places.
     kinds = segments.groupBy("anchor", "content").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_id", "dh", "start", "run", "place")).alias("first"))
+        F.count("*").alias("n"), F.min(F.struct("doc_id", "dh", "size", "start", "run", "place")).alias("first"))
     anchors = segments.groupBy("anchor").agg(F.count("*").alias("total")).where("total > 1").select("anchor")
     again = materialize(kinds.join(anchors, "anchor").select("anchor", "content", "n", "first.*"), "repeated")
     release(spark)
     counted = again.join(again.groupBy("anchor").agg(F.count("*").alias("kinds")), "anchor")
-    wanted = counted.groupBy("doc_id", "dh").agg(
+    wanted = counted.groupBy("doc_id", "dh", "size").agg(
         F.collect_list(F.struct("start", "run", "anchor", "content", "n", "kinds", "place")).alias("wanted"))
-    same_doc = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["dh"] == b["dh"])
+    same_doc = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["dh"] == b["dh"]) & (a["size"] == b["size"])
     # Rows that repeat id and text would give the same segments again.
-    texts = d.join(wanted, same_doc(d, wanted)).select("text", "wanted", d["doc_id"], d["dh"])
+    texts = d.join(wanted, same_doc(d, wanted)).select("text", "wanted", d["doc_id"], d["dh"], d["size"])
     found = materialize(
         texts.select("text", "wanted").mapInArrow(
             _fetcher(length), "anchor long, content long, n long, kinds long, place long, text binary"), "texts")
@@ -313,9 +314,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_
     ranges = materialize(repeated_ranges(found, length).distinct(), "ranges")
     release(spark)
     spans = segments.join(ranges, ["anchor", "content"]).select(
-        "doc_id", "dh", F.struct((F.col("start") + F.col("from")).alias("a"),
-                                 (F.col("start") + F.col("to") - 1 + length).alias("b")).alias("span"))
-    spans = materialize(spans.groupBy("doc_id", "dh").agg(F.collect_set("span").alias("spans")), "spans")
+        "doc_id", "dh", "size", F.struct((F.col("start") + F.col("from")).alias("a"),
+                                         (F.col("start") + F.col("to") - 1 + length).alias("b")).alias("span"))
+    spans = materialize(spans.groupBy("doc_id", "dh", "size").agg(F.collect_set("span").alias("spans")), "spans")
     release(spark)
     joined = d.join(spans, same_doc(d, spans), "left").select(d["doc_id"], "text", "spans")
     return joined.mapInArrow(_remover(length), "doc_id long, n_bytes long, n_removed long, n_spans long, "

@@ -10,6 +10,7 @@ import xxhash
 from conftest import SF_SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from retail_insights.llm import components, decontaminate, simhash_covering, suffix_array, suffix_dedup, url_rules
 from retail_insights.llm.common import only
@@ -228,6 +229,21 @@ def test_repeats_equal_brute_force(spark, monkeypatch, crowd, tile):
     assert sorted(map(tuple, got), key=str) == _without_repeats(docs, 100)
 
 
+def test_texts_with_one_short_hash_stay_apart(spark):
+    passage = "".join(Random(4).choice("abcdefgh ") for _ in range(150))
+    own = F.concat(F.lit("own words "), F.col("id"), F.lit(" stand here, "))
+    texts = spark.range(400_000).select((F.col("id") % 2).alias("late"), F.when(
+        F.col("id") % 2 == 0, F.concat(F.lit(passage), own)).otherwise(F.concat(own, own, F.lit(passage))).alias("text"))
+    pair = texts.groupBy(F.hash("text")).agg(F.min(F.when(F.col("late") == 0, F.col("text"))).alias("a"),
+                                             F.min(F.when(F.col("late") == 1, F.col("text"))).alias("b"))
+    a, b = pair.where("a is not null and b is not null").select("a", "b").first()
+    docs = [(i, t) for i in (None, 7) for t in (a, b)]
+    got = suffix_dedup.without_repeats(spark.createDataFrame(docs, "doc_id long, text string"), length=100, gram=16)
+    assert sorted(map(tuple, got.drop("kept").collect()), key=str) == _without_repeats(docs, 100)
+    alone = suffix_dedup.without_repeats(spark.createDataFrame(docs[:2], "doc_id long, text string"), length=100, gram=16)
+    assert sorted(map(tuple, alone.drop("kept").collect()), key=str) == _without_repeats(docs[:2], 100)
+
+
 def test_repeats_on_documents_and_empty_table(spark):
     docs = _docs(spark)
     got = suffix_dedup.op6_suffix_dedup(spark, SF_SMALL).collect()
