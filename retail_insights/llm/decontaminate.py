@@ -139,7 +139,8 @@ class PassageIndex:
 
     def verify(self, code, window, diagonal):
         """Banded alignment of each candidate: (edits, start, end) in symbols;
-        edits above the budget mean no match."""
+        edits above the budget mean no match.  No alignment uses a separator of
+        texts, so a match lies in one text."""
         import numpy as np
 
         e = self.e[window]
@@ -154,17 +155,17 @@ class PassageIndex:
         padded = np.zeros((len(window), int(m.max())), np.uint8)
         for i, w in enumerate(window.tolist()):
             padded[i, :m[i]] = self.windows[w]
-        one = np.int64(1) << 20
-        ramp = column * one
+        one, wall = np.int64(1) << 20, np.int64(1) << 30
         for i in range(1, int(m.max()) + 1):
             live = np.flatnonzero(m >= i)
             p = left[live, None] + i + column - 1
-            inside = (p >= 0) & (p < len(code))
-            same = inside & (code[np.where(inside, p, 0)] == padded[live, i - 1, None])
+            symbol = np.where((p >= 0) & (p < len(code)), code[np.clip(p, 0, len(code) - 1)], 0)
+            step = np.where(symbol == 0, wall, one)
             old = row[live]
-            new = old + np.where(same, 0, one)
+            new = old + np.where(symbol == padded[live, i - 1, None], 0, step)
             new[:, :-1] = np.minimum(new[:, :-1], old[:, 1:] + one)
             new[column >= limit[live, None]] = big
+            ramp = np.cumsum(step, axis=1)
             row[live] = np.minimum.accumulate(new - ramp, axis=1) + ramp
         row[column >= limit[:, None]] = big
         best = row.argmin(axis=1)
@@ -194,9 +195,6 @@ class PassageIndex:
                     doc = int(np.searchsorted(starts, begin[i], "right")) - 1
                     at = parts[doc][1]
                     b, f = int(begin[i] - starts[doc]), int(end[i] - starts[doc])
-                    b, f = max(b, 0), min(f, len(at))
-                    if b >= f:
-                        continue
                     key = (k + doc, self.item[w[i]])
                     hit = out.setdefault(key, [int(at[b]), int(at[f - 1]) + 1, int(edits[i]), set()])
                     hit[0], hit[1] = min(hit[0], int(at[b])), max(hit[1], int(at[f - 1]) + 1)

@@ -73,6 +73,25 @@ def test_passages_in_documents(spark, monkeypatch):
     assert decontaminate.without_passages(df, nothing).count() == 6
 
 
+def test_edited_items_at_the_edges_of_neighbouring_texts():
+    rng = Random(9)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    items = [(k, word(150)) for k in range(4)]
+    index, texts = decontaminate.PassageIndex(items), []
+    for cut in (0, 1, 2, 5, 8, 9):
+        item = rng.choice(items)[1]
+        texts += [word(80), item[cut:] + word(30), word(60), word(30) + item[:len(item) - cut], word(40), item[cut:],
+                  item[:70] + "z" + item[72:], "", word(3), item[:75], item[75:]]
+    raw = [t.encode() for t in texts]
+    want = {(k, index.item[w]) for k, t in enumerate(raw) for w, window in enumerate(index.windows)
+            if _nearest(window.tolist(), decontaminate.symbols(t)[0].tolist()) <= index.e[w]}
+    got = index.search(raw)
+    assert {hit[:2] for hit in got} == want and len(want) >= 24
+    # The same as each text alone, places and edits included.
+    assert got == [(k, *hit[1:]) for k, t in enumerate(raw) for hit in index.search([t])]
+    assert all(0 <= b < f <= len(raw[k]) for k, _, b, f, _, _ in got)
+
+
 # -- SimHash ---------------------------------------------------------------
 
 def _fingerprint(text):
