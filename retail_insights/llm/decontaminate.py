@@ -2,8 +2,15 @@
 
 Texts are compared by their letters and digits alone (ASCII letters in lower
 case, other characters as UTF-8 bytes), so layout and punctuation do not
-matter.  A benchmark item is searched whole, or by overlapping windows if it
-is long.  A region that matches a window of ``m`` symbols with at most ``e``
+matter.  Items of every size are searched for copied stretches, by windows of
+``STRETCH`` symbols, one each ``STRIDE`` symbols and one at the end (a shorter
+item is one window).  So a document that repeats any ``STRETCH + STRIDE - 1``
+symbols of an item with at most ``STRETCH_EDIT_PCT`` percent of a window's
+symbols edited is found, wherever the stretch starts.  With more edits
+(``EDIT_PCT`` percent) items are searched whole, long ones by half overlapping
+windows of ``WINDOW`` symbols.
+
+A region that matches a window of ``m`` symbols with at most ``e``
 edits shares at least ``m + 1 - q - q*e`` q-grams with it, and all of them lie
 on diagonals within a band of ``e + 1``.  So shared q-grams are counted in
 overlapping bands, bands that meet the bound are kept, and each is verified
@@ -13,8 +20,11 @@ Documents are read once per block of benchmark items; a block's index is
 shipped with the tasks, and its size is bounded by ``block_bytes``.  Nothing
 is shuffled but the small result.
 
-Defined results: null or empty texts match nothing; an item with fewer than
-``q`` symbols is found nowhere; repeated documents and repeated items are
+An item with fewer than ``q`` symbols is compared exactly, and only from the
+start of a word to the end of one.
+
+Defined results: null or empty texts and items without symbols match nothing;
+repeated documents and repeated items are
 matched one by one; other columns (clashing names included) are ignored.
 """
 
@@ -26,10 +36,12 @@ from pyspark.sql import functions as F
 from retail_insights.llm.common import only, table
 
 Q = 12
-#: Edits allowed per hundred symbols.
+#: Edits allowed per hundred symbols of an item or long window.
 EDIT_PCT = 6
 #: Items with more symbols are searched by windows of this many, half overlapping.
 WHOLE, WINDOW = 200, 160
+#: Symbols of a window for stretches, from one's start to the next, edits per hundred.
+STRETCH, STRIDE, STRETCH_EDIT_PCT = 50, 10, 4
 BLOCK_BYTES = 8 << 20
 #: Bytes of documents that a task handles at once (a longer document alone).
 UNIT = 1 << 20
@@ -80,33 +92,51 @@ class PassageIndex:
         import numpy as np
 
         self.q = q
-        self.windows, self.item, owner, place, grams = [], [], [], [], []
+        #: An entry stands for a q-gram at ``place`` of an item and the windows
+        #: from ``lo`` on, ``many`` of them, that hold it.
+        self.item, self.exact, codes, size = [], {}, [np.zeros(0, np.uint8)], 0
+        at, begin, m, pct, grams, lo, many, place = ([np.zeros(0, np.int64)] for _ in range(8))
         for item_id, text in items:
-            code, _ = symbols((text or "").encode())
+            code, _ = symbols((text or "").encode("utf-8", "surrogatepass"))
             n = len(code)
-            starts = [0] if n <= WHOLE else [*range(0, n - WINDOW, WINDOW // 2), n - WINDOW]
-            for s in starts:
-                part = code[s:s + (n if n <= WHOLE else WINDOW)]
-                if len(part) < q:
-                    continue
-                h = gram_hashes(part, q)
-                owner.append(np.full(len(h), len(self.windows)))
-                place.append(np.arange(len(h)))
+            if n < q:
+                if n:
+                    self.exact.setdefault(n, {}).setdefault(code.tobytes(), []).append(item_id)
+                continue
+            h, pos = gram_hashes(code, q), np.arange(n - q + 1)
+            rules = [(n, n, edit_pct) if n <= WHOLE else (WINDOW, WINDOW // 2, edit_pct)]
+            if n > STRETCH:
+                rules.append((STRETCH, STRIDE, STRETCH_EDIT_PCT))
+            for length, stride, allowed in rules:
+                starts = np.array([*range(0, n - length, stride), n - length])
+                first = np.searchsorted(starts, pos + q - length)
                 grams.append(h)
-                self.windows.append(part)
-                self.item.append(item_id)
-        self.m = np.array([len(w) for w in self.windows], np.int64)
+                lo.append(first + len(self.item))
+                many.append(np.searchsorted(starts, pos, "right") - first)
+                place.append(pos)
+                begin.append(starts)
+                at.append(starts + size)
+                m.append(np.full(len(starts), length))
+                pct.append(np.full(len(starts), allowed))
+                self.item += [item_id] * len(starts)
+            codes.append(code)
+            size += n
+        self.code = np.concatenate(codes)
+        self.at, self.begin, self.m, pct = (np.concatenate(x) for x in (at, begin, m, pct))
         # The budget, lowered where the lemma would leave nothing to count.
-        self.e = np.minimum(self.m * edit_pct // 100, np.maximum(0, (self.m - q) // q))
+        self.e = np.minimum(self.m * pct // 100, np.maximum(0, (self.m - q) // q))
         self.need = np.maximum(1, self.m + 1 - q - q * self.e)
-        h = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
+        h = np.concatenate([x.view(np.uint64) for x in grams])
         order = np.argsort(h, kind="stable")
         self.gram, self.first, self.count = np.unique(h[order], return_index=True, return_counts=True)
-        self.owner = (np.concatenate(owner) if grams else np.zeros(0, np.int64))[order]
-        self.place = (np.concatenate(place) if grams else np.zeros(0, np.int64))[order]
+        self.lo, self.many, self.place = (np.concatenate(x)[order].astype(np.int32) for x in (lo, many, place))
         self.seen = np.zeros(1 << 20, bool)
         self.seen[(self.gram >> np.uint64(44)).astype(np.int64)] = True
 
+    @property
+    def windows(self):
+        return [self.code[a:a + m] for a, m in zip(self.at.tolist(), self.m.tolist())]
+
     def bands(self, code):
         """Candidates ``(window, first diagonal)`` in a stretch of text."""
         import numpy as np
@@ -122,11 +152,13 @@ class PassageIndex:
         pos, k = pos[real], k[real]
         if not len(pos):
             return none, none
+        spread = lambda start, n: np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
         n = self.count[k]
-        entry = np.repeat(self.first[k] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        window = self.owner[entry]
+        entry = spread(self.first[k], n)
+        many = self.many[entry]
+        window = spread(self.lo[entry], many)
         shift = int(self.m.max())
-        diagonal = np.repeat(pos, n) - self.place[entry] + shift
+        diagonal = np.repeat(np.repeat(pos, n) - self.place[entry], many) + self.begin[window] + shift
         width = self.e[window] + 1
         span = (len(code) + 2 * shift) + 2
         keys, found = np.unique(window * span + diagonal // width, return_counts=True)
@@ -152,9 +184,8 @@ class PassageIndex:
         big = np.int64(1) << 40
         # A cell holds (cost << 20 | column where the match starts).
         row = np.where(column < limit[:, None], column, big)
-        padded = np.zeros((len(window), int(m.max())), np.uint8)
-        for i, w in enumerate(window.tolist()):
-            padded[i, :m[i]] = self.windows[w]
+        # What lies beyond a window is not compared.
+        padded = self.code[np.minimum(self.at[window, None] + np.arange(int(m.max())), len(self.code) - 1)]
         one, wall = np.int64(1) << 20, np.int64(1) << 30
         for i in range(1, int(m.max()) + 1):
             live = np.flatnonzero(m >= i)
@@ -172,6 +203,18 @@ class PassageIndex:
         cell = row[np.arange(len(row)), best]
         return cell >> 20, left + (cell & (one - 1)), left + m + best
 
+    def exact_matches(self, code, fresh):
+        """(item, start, end) of the items below ``q`` symbols; ``fresh`` tells
+        which symbols start a word, separators among them."""
+        import numpy as np
+
+        for n, items in self.exact.items():
+            at = np.flatnonzero(fresh[:max(0, len(code) - n)] & fresh[n:])
+            known = np.concatenate([gram_hashes(np.frombuffer(x, np.uint8), n) for x in items])
+            for a in at[np.isin(gram_hashes(code, n)[at], known)].tolist():
+                for item in items.get(code[a:a + n].tobytes(), ()):
+                    yield item, a, a + n
+
     def search(self, texts: list[bytes]) -> list[tuple[int, int, int, int, int, int]]:
         """(text number, item, first byte, end byte, least edits, windows) of all matches."""
         import numpy as np
@@ -187,19 +230,28 @@ class PassageIndex:
             # Texts stand in one stretch, parted by a symbol that no window has.
             code = np.concatenate([x for c, _ in parts for x in (c, np.zeros(1, np.uint8))])
             starts = np.concatenate(([0], np.cumsum([len(c) + 1 for c, _ in parts])))
+
+            def add(item, window, begin, end, edits):
+                doc = int(np.searchsorted(starts, begin, "right")) - 1
+                at = parts[doc][1]
+                b, f = int(at[begin - starts[doc]]), int(at[end - starts[doc] - 1]) + 1
+                hit = out.setdefault((k + doc, item), [b, f, edits, set()])
+                hit[0], hit[1], hit[2] = min(hit[0], b), max(hit[1], f), min(hit[2], edits)
+                hit[3].add(window)
+
             window, diagonal = self.bands(code)
+            # Windows of like size together, as the longest sets the cost of all.
+            order = np.argsort(self.m[window], kind="stable")
+            window, diagonal = window[order], diagonal[order]
             for a in range(0, len(window), 4096):
                 w = window[a:a + 4096]
                 edits, begin, end = self.verify(code, w, diagonal[a:a + 4096])
                 for i in np.flatnonzero(edits <= self.e[w]).tolist():
-                    doc = int(np.searchsorted(starts, begin[i], "right")) - 1
-                    at = parts[doc][1]
-                    b, f = int(begin[i] - starts[doc]), int(end[i] - starts[doc])
-                    key = (k + doc, self.item[w[i]])
-                    hit = out.setdefault(key, [int(at[b]), int(at[f - 1]) + 1, int(edits[i]), set()])
-                    hit[0], hit[1] = min(hit[0], int(at[b])), max(hit[1], int(at[f - 1]) + 1)
-                    hit[2] = min(hit[2], int(edits[i]))
-                    hit[3].add(int(w[i]))
+                    add(self.item[w[i]], int(w[i]), int(begin[i]), int(end[i]), int(edits[i]))
+            if self.exact:
+                fresh = np.concatenate([x for _, at in parts for x in (np.diff(at, prepend=-2) > 1, [True])])
+                for item, begin, end in self.exact_matches(code, fresh):
+                    add(item, -1, begin, end, 0)
             k = stop
         return [(*key, b, f, edits, len(ws)) for key, (b, f, edits, ws) in sorted(out.items(), key=lambda x: x[0])]
 

@@ -92,6 +92,32 @@ def test_edited_items_at_the_edges_of_neighbouring_texts():
     assert all(0 <= b < f <= len(raw[k]) for k, _, b, f, _, _ in got)
 
 
+def test_copied_stretches_of_items_of_any_size():
+    rng = Random(11)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    least = decontaminate.STRETCH + decontaminate.STRIDE - 1
+    items = [(n, word(n)) for n in (5, 11, 12, 49, 50, 59, 60, 130, 190, 200, 201, 400)]
+    index = decontaminate.PassageIndex(items)
+    for n, item in items:
+        size = min(n, least)
+        for a in {0, n - size, *(rng.randrange(n - size + 1) for _ in range(40))}:
+            raw = f"{word(40)} {item[a:a + size]} {word(40)}".encode()
+            assert [hit[1] for hit in index.search([b"x", raw])] == [n]
+    # A truncated item, and whole items with as many edits as allowed, evenly spread.
+    assert [hit[1] for hit in index.search([items[8][1][:161].encode()])] == [190]
+    for n, item in items[:-2]:
+        edits = n * decontaminate.EDIT_PCT // 100 if n >= 49 else 0
+        chars = list(item)
+        for k in range(edits):
+            chars[(2 * k + 1) * n // (2 * edits)] = "z"
+        assert [hit[1] for hit in index.search(["".join(chars).encode()])] == [n]
+    # Short items: whole words only, each place once.
+    index = decontaminate.PassageIndex([(1, "Cat"), (2, "to be"), (None, "?"), (3, "\u00e9")])
+    hits = index.search([b"cat, concatenate cats", b"Or not TO-BE. cat", b"tobe or to bed", b"", "\u00e9".encode(), b"cat"])
+    assert [hit[:5] for hit in hits] == [(0, 1, 0, 3, 0), (1, 1, 14, 17, 0), (1, 2, 7, 12, 0), (2, 2, 0, 4, 0),
+                                         (4, 3, 0, 2, 0), (5, 1, 0, 3, 0)]
+
+
 # -- SimHash ---------------------------------------------------------------
 
 def _fingerprint(text):
