@@ -17,8 +17,9 @@ overlapping bands, bands that meet the bound are kept, and each is verified
 by a banded alignment.
 
 Documents are read once per block of benchmark items; a block's index is
-shipped with the tasks, and its size is bounded by ``block_bytes``.  Nothing
-is shuffled but the small result.
+shipped with the tasks, and its size is bounded by ``block_bytes``, as each
+distinct text is indexed once; the ids of its rows are joined to the hits.
+Nothing is shuffled but the hits and the item ids.
 
 An item with fewer than ``q`` symbols is compared exactly, and only from the
 start of a word to the end of one.
@@ -45,7 +46,7 @@ STRETCH, STRIDE, STRETCH_EDIT_PCT = 50, 10, 4
 BLOCK_BYTES = 8 << 20
 #: Bytes of documents that a task handles at once (a longer document alone).
 UNIT = 1 << 20
-HITS = "doc_id long, item_id long, start long, end long, edits int, n_windows int"
+HITS = "doc_id long, item string, start long, end long, edits int, n_windows int"
 
 
 def symbols(data: bytes):
@@ -256,16 +257,16 @@ class PassageIndex:
         return [(*key, b, f, edits, len(ws)) for key, (b, f, edits, ws) in sorted(out.items(), key=lambda x: x[0])]
 
 
-def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[list[tuple]]:
-    """The benchmark in blocks of about ``block_bytes`` (an item is never cut),
-    read from Spark one block at a time."""
-    b = only(benchmark, id_col, text_col).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    b = b.where("text is not null")
+def item_blocks(benchmark: DataFrame, text_col: str, block_bytes: int) -> list[list[tuple]]:
+    """The distinct texts of the benchmark under their SHA-256, in blocks of
+    about ``block_bytes`` (a text is never cut), read from Spark one block at a time."""
+    b = only(benchmark, text_col).select(F.col(text_col).alias("text")).where("text is not null").distinct()
     total = b.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // block_bytes)
-    block = F.pmod(F.xxhash64("id", "text"), F.lit(max(1, n)))
+    block = F.pmod(F.xxhash64("text"), F.lit(max(1, n)))
     for k in range(n):
-        yield [(r["id"], r["text"]) for r in b.where(block == k).orderBy("id", "text").collect()]
+        yield [(r["key"], r["text"]) for r in
+               b.where(block == k).select(F.sha2("text", 256).alias("key"), "text").orderBy("key").collect()]
 
 
 def _encoded(column) -> list[bytes]:
@@ -283,10 +284,10 @@ def _finder(items):
             rows = [(ids[k], item, len(texts[k][:b].decode("utf-8", "ignore")),
                      len(texts[k][:f].decode("utf-8", "ignore")), edits, n)
                     for k, item, b, f, edits, n in index.search(texts)]
-            kinds = [pa.int64()] * 4 + [pa.int32()] * 2
+            kinds = [pa.int64(), pa.string()] + [pa.int64()] * 2 + [pa.int32()] * 2
             cols = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                             names=["doc_id", "item_id", "start", "end", "edits", "n_windows"])
+                                             names=["doc_id", "item", "start", "end", "edits", "n_windows"])
 
     return find
 
@@ -299,9 +300,11 @@ def benchmark_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     windows of the item matched."""
     d = only(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     found = docs.sparkSession.createDataFrame([], HITS)
-    for items in item_blocks(benchmark, item_col, item_text, block_bytes):
+    for items in item_blocks(benchmark, item_text, block_bytes):
         found = found.unionByName(d.mapInArrow(_finder(items), HITS))
-    return found
+    rows = only(benchmark, item_col, item_text).where(F.col(item_text).isNotNull()).select(
+        F.sha2(F.col(item_text), 256).alias("item"), F.col(item_col).cast("long").alias("item_id"))
+    return found.join(rows, "item").select("doc_id", "item_id", "start", "end", "edits", "n_windows")
 
 
 def _dropper(items, text_at: int):
@@ -320,7 +323,7 @@ def without_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "tex
                      item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents in which no benchmark item is found, all columns kept."""
     kept = docs
-    for items in item_blocks(benchmark, item_col, item_text, block_bytes):
+    for items in item_blocks(benchmark, item_text, block_bytes):
         kept = kept.mapInArrow(_dropper(items, docs.columns.index(text_col)), docs.schema)
     return kept
 

@@ -118,6 +118,20 @@ def test_copied_stretches_of_items_of_any_size():
                                          (4, 3, 0, 2, 0), (5, 1, 0, 3, 0)]
 
 
+def test_repeated_items_are_indexed_once(spark):
+    rng = Random(12)
+    one, two = ("".join(rng.choice("abcdefghij") for _ in range(100)) for _ in range(2))
+    items = [(i % 20, one) for i in range(30)] + [(None, two), (7, two), (8, None), (9, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    blocks = list(decontaminate.item_blocks(bench, "text", 150))
+    assert sorted(text for block in blocks for _, text in block) == sorted(["", one, two]) and len(blocks) == 2
+    docs = spark.createDataFrame([(1, one), (2, two + " " + one), (3, "no item")], "doc_id long, text string")
+    for size in (150, 1 << 20):
+        got = decontaminate.benchmark_passages(docs, bench, block_bytes=size).collect()
+        assert Counter((r.doc_id, r.item_id) for r in got) == Counter(
+            (d, i) for d, has in ((1, [one]), (2, [one, two])) for i, t in items if t in has)
+
+
 # -- SimHash ---------------------------------------------------------------
 
 def _fingerprint(text):
