@@ -4,12 +4,15 @@ Base spans (email, ip, card, phone) follow fixed patterns and always stay.
 High-recall generators propose further, overlapping spans per kind.  A boosted
 forest of small trees scores each candidate by its format (lengths, digit
 groups, separators) and its context (neighbouring characters, the words
-before).  It learns from candidates of a bounded sample of documents, labelled
-by whether they lie on a base span of their kind; the features leave out what
-defines the base patterns (plus sign, check digit, at sign), so the forest
-also accepts the same data in other spellings.  The threshold is calibrated on
-candidates that training did not see: the lowest that keeps the wanted
-precision.  Of overlapping accepted candidates the best one is kept.
+before).  It learns other spellings from a bounded sample of documents: each
+base span is rewritten (plus sign dropped, at sign as (at), other separators),
+and the candidate on the rewritten span is right.  Wrong are candidates that a
+check refutes (see ``refuted``), that lie on data of another kind, or on a look-alike
+(date, ISBN, number list) put in a base span's place.  Other candidates are
+unknown and teach nothing.  The threshold is calibrated on examples that
+training did not see and no check refutes: the lowest that keeps the wanted
+precision.  Refuted candidates are never accepted; of overlapping accepted ones the best is kept,
+of equally good ones the longest.
 
 Prediction is one narrow pass.  Training sees at most ``SAMPLE_DOCS`` documents
 (in expectation, chosen by hash) and ``SAMPLE_CANDIDATES`` candidates.
@@ -38,11 +41,32 @@ CARD = r"[0-9]([\x20-]?[0-9])+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 #: Generators: kind and pattern of wider candidates.
+_LOCAL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+ ?(?:@|\(at\)|\[at\]| at ) ?[A-Za-z0-9-]+"
 GENERATORS = [
-    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+ ?(?:@|\(at\)|\[at\]| at ) ?[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]+)+"),
-    ("ip", r"(?<![\w.])[0-9]{1,3}(?: ?[.,] ?[0-9]{1,3}){3}(?![\w.])"),
+    ("email", _LOCAL + r"(?:(?:\.|\(dot\)|\[dot\]| dot )[A-Za-z0-9-]+)+"),
+    ("email", _LOCAL + r"(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]+)+"),
+    ("ip", r"(?<![\w.])[0-9]{1,3}(?: ?[.,] ?[0-9]{1,3}){3}(?![\w])"),
     ("card", r"(?<!\w)[0-9]{3,6}(?:[ ./-]?[0-9]{2,7}){2,5}(?!\w)"),
-    ("phone", r"(?<!\w)(?:\+|00)?[ (]*[0-9]{1,4}[)]?(?:[ ./()-]{0,2}[0-9]{2,4}){2,4}(?!\w)"),
+    ("phone", r"(?<!\w)(?! )(?:\+|00)?[ (]{0,3}[0-9]{1,4}[)]?(?:[ ./()-]{0,2}[0-9]{2,4}){2,4}(?!\w)"),
+]
+#: Other spellings of each kind, as functions of the base span and its digits.
+REWRITES = [
+    [lambda t, d: t.replace("@", "(at)"), lambda t, d: t.replace("@", " at "), lambda t, d: t.replace("@", " [at] "),
+     lambda t, d: t.split("@")[0] + "(at)" + t.split("@")[1].replace(".", "(dot)"),
+     lambda t, d: t.split("@")[0] + " at " + t.split("@")[1].replace(".", " dot ")],
+    [lambda t, d: t.replace(".", ","), lambda t, d: t.replace(".", " . "), lambda t, d: t.replace(".", " ."),
+     lambda t, d: t.replace(".", ". ")],
+    [lambda t, d: ".".join(d[k:k + 4] for k in range(0, len(d), 4)), lambda t, d: "/".join(d[k:k + 4] for k in range(0, len(d), 4))],
+    [lambda t, d: t.lstrip("+"), lambda t, d: "00" + t.lstrip("+"), lambda t, d: f"({d[-10:-7]}) {d[-7:-4]}-{d[-4:]}",
+     lambda t, d: f"{d[-10:-7]}-{d[-7:-4]}-{d[-4:]}", lambda t, d: f"{d[-10:-7]}.{d[-7:-4]}.{d[-4:]}",
+     lambda t, d: f"{d[:-10]} {d[-10:-7]} {d[-7:-4]} {d[-4:]}".strip()],
+]
+#: What is no personal data, as functions of digits.
+LOOKALIKES = [
+    lambda d: f"20{d[:2]}-0{int(d[2]) % 9 + 1}-1{d[3]} 1{d[4]}.{int(d[5]) % 6}{d[6]}", lambda d: f"1{d[0]}.0{int(d[1]) % 9 + 1}.19{d[2:4]}",
+    lambda d: f"978-{d[0]}-{d[1:3]}-{d[3:7]}00-{d[0]}", lambda d: f"19{d[:2]}-19{d[2:4]} 20{d[4:6]}-20{d[6:8]}",
+    lambda d: f"{int(d[0]) + 1}{d[1]}, {int(d[2]) + 1}{d[3]}, {int(d[4]) + 1}{d[5]}, {int(d[6]) + 1}{d[7]}",
+    lambda d: f"{int(d[0]) + 1}{d[1]} {d[2:5]} {d[5:8]} 000", lambda d: (d * 2)[:10],
 ]
 #: Words that announce each kind.
 CUES = [frozenset("email mail e-mail contact write".split()), frozenset("ip address host server from".split()),
@@ -119,18 +143,34 @@ def features(text: str, kind: int, start: int, end: int) -> list[int]:
     return [min(int(x), BINS - 1) for x in out]
 
 
+_EVERY = [(KINDS.index(kind), re.compile(f"(?=({pattern}))")) for kind, pattern in GENERATORS]
+
+
 def candidates(text: str) -> list[tuple[int, int, int]]:
+    """(kind number, start, end): matches from every start, overlapping ones too."""
     has_digit = re.search("[0-9]", text)
-    if not has_digit and "@" not in text and "(at)" not in text and "[at]" not in text:
-        return []
+    has_at = any(at in text for at in ("@", "(at)", "[at]", " at "))
     out = set()
-    for kind, (_, pattern) in enumerate(GENERATORS):
-        if kind and not has_digit:
-            continue
-        out.update((kind, *m.span()) for m in re.finditer(pattern, text))
+    for kind, pattern in _EVERY:
+        if has_digit if kind else has_at:
+            out.update((kind, *m.span(1)) for m in pattern.finditer(text))
     return sorted(out)
 
 
+def refuted(kind: int, span: str) -> bool:
+    """Whether a check shows that a candidate is not of its kind: an at without
+    marks before a sentence's end, a part above 255 or a list, wrong check
+    digit, too few or too many digits."""
+    if kind == 0:
+        return " at " in span and ". " in span
+    if kind == 1:
+        return ", " in span or any(int(p) > 255 for p in re.findall("[0-9]+", span))
+    digits = re.sub("[^0-9]", "", span)
+    if kind == 2:
+        return not (13 <= len(digits) <= 19 and luhn(digits))
+    return not 9 <= len(digits.removeprefix("00")) <= 15
+
+
 class Forest:
     """Gradient boosting with logistic loss: trees of depth three over binned features."""
 
@@ -205,19 +245,53 @@ class Forest:
         return self
 
 
+def _put(text: str, start: int, end: int, new: str) -> tuple[str, int, int]:
+    """The surroundings of a span with other words in its place, and their span there."""
+    before = text[max(0, start - 60):start]
+    return before + new + text[end:end + 60], len(before), len(before) + len(new)
+
+
+def examples(text: str) -> list[tuple[list[int], int]]:
+    """(features, 1 right, 0 wrong or -1 refuted by a check) of the candidates in
+    a text whose truth is known."""
+    base, out = base_spans(text), []
+    meets = lambda a, b, s, e: s < b and a < e
+    for kind, a, b in candidates(text):
+        on = {k for k, s, e in base if meets(a, b, s, e)}
+        if kind not in on and (on or refuted(kind, text[a:b])):
+            out.append((features(text, kind, a, b), -int(refuted(kind, text[a:b]))))
+    for kind, start, end in base:
+        span = text[start:end]
+        digits = re.sub("[^0-9]", "", span)
+        for rewrite in REWRITES[kind]:
+            other, s, e = _put(text, start, end, rewrite(span, digits))
+            for k, a, b in candidates(other):
+                if k == kind and (a, b) == (s, e):
+                    out.append((features(other, k, a, b), 1))
+                elif k != kind and meets(a, b, s, e):
+                    out.append((features(other, k, a, b), -int(refuted(k, other[a:b]))))
+        number = f"{int(hashlib.sha256(span.encode()).hexdigest()[:12], 16) % 10 ** 8:08d}"
+        for lookalike in LOOKALIKES:
+            other, s, e = _put(text, start, end, lookalike(number))
+            out += [(features(other, k, a, b), -int(refuted(k, other[a:b]))) for k, a, b in candidates(other)
+                    if meets(a, b, s, e)]
+    return out
+
+
 def _sampler(batches):
     import pyarrow as pa
 
     for batch in batches:
-        rows, labels = [], []
-        for text in batch.column(0):
-            text = text.as_py()
-            base = base_spans(text)
-            for kind, a, b in candidates(text):
-                rows.append(features(text, kind, a, b))
-                labels.append(int(any(k == kind and s < b and a < e for k, s, e in base)))
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(labels, pa.int32())],
-                                         names=["x", "y"])
+        known = [x for text in batch.column(0) for x in examples(text.as_py())]
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in known], pa.list_(pa.int32())),
+                                          pa.array([y for _, y in known], pa.int32())], names=["x", "y"])
+
+
+def _fit(x, y) -> Forest:
+    """What a check refutes is never accepted, so it does not count in calibration."""
+    import numpy as np
+
+    return Forest().fit(x, np.maximum(y, 0), (np.arange(len(x)) % 5 == 0) & (y >= 0))
 
 
 def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS,
@@ -229,20 +303,21 @@ def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOC
     if not n:
         return Forest()
     sample = d.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(int(1_000_000 * min(1.0, sample_docs / n))))
-    sample = sample.where(F.col("text").rlike(r"[0-9@]|\(at\)|\[at\]"))
+    sample = sample.where(F.col("text").rlike(r"[0-9@]|\(at\)|\[at\]| at "))
     rows = (sample.mapInArrow(_sampler, "x array<int>, y int").groupBy("x", "y").agg(F.count("*").alias("n"))
             .orderBy(F.xxhash64("x", "y"), "x", "y").limit(sample_candidates).collect())
     if not rows:
         return Forest()
     x, y = np.array([r["x"] for r in rows]), np.array([float(r["y"]) for r in rows])
-    return Forest().fit(x, y, np.arange(len(rows)) % 5 == 0)
+    return _fit(x, y)
 
 
 def all_spans(text: str, base: list, found: list, p, threshold: float) -> list[tuple[int, int, int]]:
-    """Base spans and the accepted candidates that overlap none of them, best first."""
+    """Base spans and the accepted candidates that overlap none of them, best
+    first, of equally good ones the longest."""
     taken = [(a, b) for _, a, b in base]
     out = list(base)
-    for score, (kind, a, b) in sorted(zip(p, found), key=lambda s: (-s[0], s[1])):
+    for score, (kind, a, b) in sorted(zip(p, found), key=lambda s: (-round(s[0], 2), s[1][1] - s[1][2], s[1])):
         if score >= threshold and not any(s < b and a < e for s, e in taken):
             taken.append((a, b))
             out.append((kind, a, b))
@@ -263,7 +338,8 @@ def _finder(forest: Forest):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py() or ""
                 base = base_spans(text)
-                found = candidates(text) if forest.trees else []
+                found = [c for c in candidates(text) if not refuted(c[0], text[c[1]:c[2]])] if forest.trees else []
+                found = [c for c in found if not any(s < c[2] and c[1] < e for _, s, e in base)]
                 p = forest.probability(np.array([features(text, *c) for c in found])).tolist() if found else []
                 spans = all_spans(text, base, found, p, forest.threshold)
                 n = [sum(k == kind for k, _, _ in base) for kind in range(4)]

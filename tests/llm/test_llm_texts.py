@@ -207,6 +207,30 @@ def test_personal_data_model(spark):
     assert pii_boost.personal_data(empty, pii_boost.Forest()).count() == 0
 
 
+def test_personal_data_in_other_spellings(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    forest, rng = pii_boost.train(docs), Random(6)
+    number = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+    texts, want = [], []
+    for i in range(120):
+        kind, span = [("email", f"user{i}(at)mail{i % 9}.example.com"), ("ip", f"10,{i},{i + 1},7"),
+                      ("phone", f"1 {number(3)} 555 {number(4)}"), ("phone", f"({number(3)}) 555-{number(4)}")][i % 4]
+        texts.append((i, f"Words stand {span} and more words"))
+        want.append(f"{kind}:12:{12 + len(span)}")
+    looks = ["2021-03-14 10.30", "978-3-16-148410-0", "1234567890123456", "He sat at home. Then", "1, 2, 3, 4", "1 2 3 4 5 6 7 8 9"]
+    texts += [(200 + k, f"Words stand {x} and more words") for k, x in enumerate(looks)]
+    out = {r.doc_id: r.spans for r in pii_boost.personal_data(
+        spark.createDataFrame(texts, "doc_id long, text string"), forest).collect()}
+    assert sum(out[i] == w for i, w in enumerate(want)) >= 108
+    assert sum(out[200 + k] != "" for k in range(len(looks))) <= 1
+    # Candidates of one kind may overlap, and the unmarked at needs no other mark.
+    found = {("a at b.org c"[a:b]) for k, a, b in pii_boost.candidates("a at b.org c") if k == 0}
+    assert "a at b.org" in found
+    text = "12 1 906 555 7738"
+    assert {"12 1 906 555 7738", "1 906 555 7738"} & {text[a:b] for k, a, b in pii_boost.candidates(text) if k == 3}
+    assert len([1 for k, _, _ in pii_boost.candidates(text) if k == 3]) > 1
+
+
 def test_long_runs_stay_linear():
     for text in ("a" * 300_000, "1" * 300_000, "a." * 150_000, "+" + "1 " * 100_000, "0123456789abcdef" * 20_000):
         pii_boost.base_spans(text)
