@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over ``documents``, each written as Parquet
 and read again as the next one's input.
 
-1. language ID: documents without a recognised language go;
+1. language ID: documents without a letter go (code lengths reject nothing);
 2. SimHash near-dedup: of each group of linked documents the one with the
    least id stays;
 3. benchmark decontamination: documents that hold a benchmark item go;

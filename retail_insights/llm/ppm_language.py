@@ -13,6 +13,9 @@ Training counts come from a sample of labelled rows chosen by hash, about
 ``TRAIN_DOCS`` documents a language (the documented bound of the model);
 counting runs on Spark.  Prediction is one narrow pass: nothing is shuffled.
 
+Code lengths choose among the known languages and reject nothing: any text with
+a letter gets one of them, noise and unknown scripts included.
+
 Defined results: null text, or text without a letter, is ``und`` with score 0;
 so is everything if no labelled row exists; rows with a null id are not held
 out and not learned from; ties between languages go to the first by name;
