@@ -1,5 +1,5 @@
-"""DuckDB texts of the queries that SQL can express: line cleaning and URL
-rules.  The other operators train models, tokenize or hash in ways that SQL
+"""DuckDB texts of the queries that SQL can express: line cleaning, URL
+rules and ranked search.  The other operators train models, tokenize or hash in ways that SQL
 lacks; tests hold them against brute force."""
 
 from __future__ import annotations
@@ -7,6 +7,7 @@ from __future__ import annotations
 import re
 
 from retail_insights.llm import quality_lines as q
+from retail_insights.llm import ranked_search
 from retail_insights.llm import url_rules as u
 
 
@@ -102,4 +103,29 @@ FROM parsed LEFT JOIN host_hits USING (r) LEFT JOIN pattern_hits USING (r)
 """
 
 
-ORACLE_SQL = {"op1_quality_rules": _quality(), "op5_url_filters": _urls()}
+def _ranked() -> str:
+    terms = f"regexp_extract_all(translate(text, '{u.UPPER}', '{u.LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce({terms}, []) AS terms FROM documents),
+totals AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM docs),
+tf AS (
+  SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+  FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs) GROUP BY r, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, totals GROUP BY term),
+items AS (
+  SELECT DISTINCT item_id, text, unnest(list_distinct({terms})) AS term
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+scored AS (
+  SELECT item_id, text, r, any_value(doc_id) AS doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM items JOIN tf USING (term) JOIN weights USING (term), totals GROUP BY item_id, text, r),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= {ranked_search.TOP}
+"""
+
+
+ORACLE_SQL = {"op1_quality_rules": _quality(), "op5_url_filters": _urls(), "op12_ranked_search": _ranked()}
