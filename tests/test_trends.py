@@ -81,14 +81,15 @@ def test_purchase_trend_previous_present_month_and_calendar(spark):
         (4, 1, 10, 2020, 4, 1, "0.00"),                        # Apr: 0
         (5, 1, 10, 2020, 5, 1, "10.00"),                       # May after a zero month
     ])
-    got = rows(purchase_trend(sales))
-    assert got == [
-        (1, 2020, 1, 2, D("200.00"), None, None, 200.0 / 3),
-        (1, 2020, 3, 1, D("300.00"), D("200.00"), 50.0, 300.0),
-        (1, 2020, 4, 1, D("0.00"), D("300.00"), -100.0, 0.0),
-        (1, 2020, 5, 1, D("10.00"), D("0.00"), None, 10.0),
+    trend = purchase_trend(sales)
+    assert rows(trend, "customer_id", "order_year", "order_month", "orders_per_month", "monthly_spent",
+                "previous_month_spent", "spending_growth_pct", "avg_order_value", "avg_spend_per_order") == [
+        (1, 2020, 1, 2, D("200.00"), None, None, 200.0 / 3, 100.0),
+        (1, 2020, 3, 1, D("300.00"), D("200.00"), 50.0, 300.0, 300.0),
+        (1, 2020, 4, 1, D("0.00"), D("300.00"), -100.0, 0.0, 0.0),
+        (1, 2020, 5, 1, D("10.00"), D("0.00"), None, 10.0, 10.0),
     ]
-    cal = {(r[1], r[2]): r[5] for r in purchase_trend(sales, calendar=True).collect()}
+    cal = {(r.order_year, r.order_month): r.previous_month_spent for r in purchase_trend(sales, calendar=True).collect()}
     assert cal[(2020, 3)] is None and cal[(2020, 4)] == D("300.00")
 
 
@@ -148,9 +149,10 @@ def test_segments_boundaries(spark):
     lines += [(20 + i, 2, 10, 2021, 1, 1, "100.00") for i in range(9)]    # 9 lines, 900: regular
     lines += [(40 + i, 3, 10, 2021, 1, 1, "99.98") for i in range(5)]     # 499.90: occasional
     lines += [(60, 4, 10, 2021, 1, 1, "5000.00")]                         # 1 line: occasional
-    seg = {r[0]: r[4] for r in customer_segments(_sales(spark, lines)).collect()}
-    assert seg == {1: "High-Value Customer", 2: "Regular Customer", 3: "Occasional Buyer",
-                   4: "Occasional Buyer"}
+    segments = customer_segments(_sales(spark, lines))
+    assert rows(segments, "customer_id", "customer_segment", "purchase_count", "order_count") == [
+        (1, "High-Value Customer", 10, 10), (2, "Regular Customer", 9, 9), (3, "Occasional Buyer", 5, 5),
+        (4, "Occasional Buyer", 1, 1)]
 
 
 def test_peak_months(spark):
