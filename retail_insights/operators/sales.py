@@ -8,32 +8,38 @@ from pyspark.sql import functions as F
 from retail_insights.schemas import SALES
 
 
-def sales_fact(orders: DataFrame, order_items: DataFrame, products: DataFrame) -> DataFrame:
+def known_lines(order_items: DataFrame, products: DataFrame) -> DataFrame:
+    """The order lines whose product exists.  Products are unique by
+    ``product_id`` (bronze ingestion checks it); only their key is read."""
+    lines = order_items.select("order_id", "product_id", "quantity", "unit_price")
+    return lines.join(products.select("product_id"), "product_id", "left_semi")
+
+
+def sales_fact(orders: DataFrame, order_items: DataFrame, products: DataFrame | None = None) -> DataFrame:
     """One row per order line whose order and product exist.
 
     Output (in order): order_id, customer_id, order_date, product_id,
     quantity, unit_price, sales_amount = quantity * unit_price, order_year,
     order_month.
 
-    Products contribute only their existence here, so the product side is a
-    semi-join on ``product_id`` (products are unique by it, which bronze
-    ingestion checks): Catalyst prunes it
-    to the key column and broadcasts it when its size is under the threshold,
-    otherwise both sides shuffle on the key.  The order/line join is the big
-    one; it shuffles both sides on ``order_id`` and AQE splits a skewed
-    order partition.
+    Lines meet their orders first, so a filter on the orders reduces the lines
+    before anything else is shuffled, and tables bucketed by ``order_id`` join
+    without an exchange.  The product check comes after it, and leaves the fact
+    partitioned by product when products are too many to broadcast.
+
+    Without ``products`` the lines are taken as known (:func:`known_lines`).
+    The fact then keeps the join's partitioning by order, on which a per-order
+    aggregate needs no further shuffle.
     """
-    lines = order_items.select("order_id", "product_id", "quantity", "unit_price") \
-        .join(products.select("product_id"), "product_id", "left_semi")
-    return (
-        orders.select("order_id", "customer_id", "order_date")
-        .join(lines, "order_id")
-        .select(
-            "order_id", "customer_id", "order_date", "product_id", "quantity", "unit_price",
-            (F.col("quantity") * F.col("unit_price")).alias("sales_amount"),
-            F.year("order_date").alias("order_year"),
-            F.month("order_date").alias("order_month"),
-        )
+    joined = orders.select("order_id", "customer_id", "order_date").join(
+        order_items.select("order_id", "product_id", "quantity", "unit_price"), "order_id")
+    if products is not None:
+        joined = joined.join(products.select("product_id"), "product_id", "left_semi")
+    return joined.select(
+        "order_id", "customer_id", "order_date", "product_id", "quantity", "unit_price",
+        (F.col("quantity") * F.col("unit_price")).alias("sales_amount"),
+        F.year("order_date").alias("order_year"),
+        F.month("order_date").alias("order_month"),
     )
 
 

@@ -3,7 +3,7 @@ monthly products (B9)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_insights.functions import on_or_after, year_month_label
@@ -73,21 +73,55 @@ def best_customers(sales: DataFrame, n: int = 5) -> DataFrame:
     )
 
 
+#: More customers than these are joined, not named one by one in a predicate.
+MAX_NAMED = 10_000
+
+
+def top_customer_ids(sales: DataFrame, n: int = 5) -> list:
+    """The ids of the ``n`` best customers, at most :data:`MAX_NAMED`: the first
+    phase of a plan whose second phase names them in its scans.  One aggregate
+    runs; ``n`` values reach the driver, whatever the data."""
+    if n > MAX_NAMED:
+        raise ValueError(f"{n} customers: join best_customers() instead of naming more than {MAX_NAMED}")
+    return [r["customer_id"] for r in best_customers(sales, n).collect()]
+
+
+def of_customers(rows: DataFrame, top: DataFrame | list) -> DataFrame:
+    """The rows of the customers in ``top``: a list of ids becomes a predicate
+    that reaches the scan, a DataFrame a semi-join.  Rows without a customer
+    belong to none."""
+    if isinstance(top, DataFrame):
+        return rows.join(top, "customer_id", "left_semi")
+    return rows.filter(F.col("customer_id").isin([c for c in top if c is not None]))
+
+
+def line_count(sales: DataFrame) -> Column:
+    """Number of sales lines of a group, over lines or over their monthly rollup."""
+    return F.sum("line_count") if "line_count" in sales.columns else F.count("product_id")
+
+
+def summed(sales: DataFrame, column: str) -> Column:
+    """Sum of ``column`` over lines, or over a rollup that holds its sums; both
+    have the type of the sum over lines."""
+    total = F.sum(column)
+    return total.cast(sales.schema[column].dataType) if "line_count" in sales.columns else total
+
+
 def best_customer_products(sales: DataFrame, products: DataFrame, n: int = 5,
-                           top: DataFrame | None = None) -> DataFrame:
+                           top: DataFrame | list | None = None) -> DataFrame:
     """Monthly product purchases of the ``n`` best customers.
 
     Output: customer_id, year_month, line_count, product_name, category,
     monthly_sales.  ``line_count`` counts sales lines.  Grouping is by
     (customer, month, product), so two products with the same name stay two
-    rows.  ``top`` is a ready set of customers; ``sales`` may then hold their
-    lines alone.  The set has at most ``n`` rows, so the semi-join's side is
-    small, and Spark broadcasts it by its measured size.
+    rows.  ``top`` is a ready set of customers (see :func:`of_customers`);
+    ``sales`` may then hold their lines alone.  ``sales`` may be the monthly
+    rollup.
     """
     if top is None:
         top = best_customers(sales, n)
     monthly = (
-        sales.join(top, "customer_id", "left_semi")
+        of_customers(sales, top)
         .groupBy(
             "customer_id",
             F.year("order_date").alias("_y"),
@@ -95,8 +129,8 @@ def best_customer_products(sales: DataFrame, products: DataFrame, n: int = 5,
             "product_id",
         )
         .agg(
-            F.count("product_id").alias("line_count"),
-            F.sum("sales_amount").alias("monthly_sales"),
+            line_count(sales).alias("line_count"),
+            summed(sales, "sales_amount").alias("monthly_sales"),
         )
         .withColumn("year_month", year_month_label("_y", "_m"))
     )

@@ -23,7 +23,7 @@ from retail_insights.functions import (
     relative_change_pct,
     year_month_label,
 )
-from retail_insights.operators.spending import best_customers
+from retail_insights.operators.spending import best_customers, of_customers, summed
 
 
 def _previous(value: str, partition: list[str], year: str, month: str | None,
@@ -40,11 +40,11 @@ def _previous(value: str, partition: list[str], year: str, month: str | None,
 
 
 def peak_sales_months(sales: DataFrame) -> DataFrame:
-    """Sales per calendar month.  Output: year_month ('yyyy-MM'),
-    monthly_product_sales."""
+    """Sales per calendar month, over lines or their monthly rollup.  Output:
+    year_month ('yyyy-MM'), monthly_product_sales."""
     return (
         sales.groupBy(F.year("order_date").alias("_y"), F.month("order_date").alias("_m"))
-        .agg(F.sum("sales_amount").alias("monthly_product_sales"))
+        .agg(summed(sales, "sales_amount").alias("monthly_product_sales"))
         .select(year_month_label("_y", "_m").alias("year_month"), "monthly_product_sales")
     )
 
@@ -56,11 +56,18 @@ def purchase_trend(sales: DataFrame, calendar: bool = False) -> DataFrame:
     orders), monthly_spent, previous_month_spent, spending_growth_pct,
     avg_order_value, avg_spend_per_order.  ``avg_order_value`` is the mean
     sales *line* amount of the month, as in the source.
+
+    Orders are counted exactly without a distinct aggregate: each order's lines
+    are summed first, on the partitioning of the order join where the fact still
+    has it, and what follows are plain sums over one row per order.
     """
-    monthly = sales.groupBy("customer_id", "order_year", "order_month").agg(
-        F.count_distinct("order_id").alias("orders_per_month"),
-        F.sum("sales_amount").alias("monthly_spent"),
-        ratio(F.sum("sales_amount"), F.count("sales_amount")).alias("avg_order_value"),
+    month = ["customer_id", "order_year", "order_month"]
+    by_order = sales.groupBy("order_id", *month).agg(
+        F.sum("sales_amount").alias("_amount"), F.count("sales_amount").alias("_lines"))
+    monthly = by_order.groupBy(*month).agg(
+        F.count("order_id").alias("orders_per_month"),
+        F.sum("_amount").cast(by_order.schema["_amount"].dataType).alias("monthly_spent"),
+        ratio(F.sum("_amount"), F.sum("_lines")).alias("avg_order_value"),
     )
     prev = _previous("monthly_spent", ["customer_id"], "order_year", "order_month", calendar)
     return monthly.withColumn("previous_month_spent", prev).select(
@@ -106,11 +113,11 @@ def product_growth(sales: DataFrame, products: DataFrame, calendar: bool = False
     total_quantity_sold, total_sales_amount, previous_month_sales,
     month_over_month_growth_pct.  Products without a catalogue row drop out
     (inner join), after aggregation, so the join sees one row per product
-    and month.
+    and month.  ``sales`` may be the monthly rollup.
     """
     monthly = sales.groupBy("order_year", "order_month", "product_id").agg(
         F.sum("quantity").alias("total_quantity_sold"),
-        F.sum("sales_amount").alias("total_sales_amount"),
+        summed(sales, "sales_amount").alias("total_sales_amount"),
     )
     prev = _previous("total_sales_amount", ["product_id"], "order_year", "order_month", calendar)
     growth = monthly.withColumn("previous_month_sales", prev)
@@ -128,7 +135,7 @@ def yoy_comparison(
     n: int = 5,
     grain: str = "product",
     calendar: bool = False,
-    top: DataFrame | None = None,
+    top: DataFrame | list | None = None,
 ) -> DataFrame:
     """Year-over-year monthly sales of the ``n`` best customers.
 
@@ -137,29 +144,31 @@ def yoy_comparison(
     yoy_growth_percent.  ``grain="category"`` groups by category instead and
     drops product_id and product_name.  The previous year is the previous
     present year of the same (customer, item, calendar month).  ``top`` is a
-    ready set of customers; ``sales`` may then hold their lines alone.
+    ready set of customers; ``sales`` may then hold their lines alone.  ``sales``
+    may be the monthly rollup.
     """
     if grain not in ("product", "category"):
         raise ValueError(f"grain must be 'product' or 'category', not {grain!r}")
     if top is None:
         top = best_customers(sales, n)
-    lines = sales.join(top, "customer_id", "left_semi").select(
+    lines = of_customers(sales, top).select(
         "customer_id", "product_id", "sales_amount",
         F.year("order_date").alias("sales_year"),
         F.month("order_date").alias("sales_month"),
     )
+    total = summed(sales, "sales_amount").alias("monthly_sales")
     names = products.select("product_id", F.col("name").alias("product_name"), "category")
     if grain == "product":
         item = ["product_id"]
         monthly = lines.groupBy("customer_id", "product_id", "sales_year", "sales_month") \
-            .agg(F.sum("sales_amount").alias("monthly_sales")) \
+            .agg(total) \
             .join(names, "product_id")
         lead = ["customer_id", "product_id", "product_name", "category"]
     else:
         item = ["category"]
         monthly = lines.join(names, "product_id") \
             .groupBy("customer_id", "category", "sales_year", "sales_month") \
-            .agg(F.sum("sales_amount").alias("monthly_sales"))
+            .agg(total)
         lead = ["customer_id", "category"]
     prev = _previous("monthly_sales", ["customer_id", *item, "sales_month"], "sales_year", None,
                      calendar)

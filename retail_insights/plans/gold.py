@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retail_insights import operators as op
 from retail_insights.plans.presentation import presented
-from retail_insights.session import scratch_path
+from retail_insights.session import delete_folder, scratch_path
 from retail_insights.sinks import publish_table, write_files
 
 
@@ -32,8 +32,7 @@ def materialized(spark: SparkSession, df: DataFrame, name: str):
         df.write.mode("overwrite").parquet(path)
         yield spark.read.parquet(path)
     finally:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_folder(spark, path)
 
 
 def _write_all(spark: SparkSession, outputs: dict[str, DataFrame], target: str,
@@ -84,22 +83,30 @@ def omni_channel_engagement(spark, bronze: Mapping[str, DataFrame], target: str,
 
 
 def pricing_trends(spark, bronze: Mapping[str, DataFrame], history: DataFrame, target: str,
-                   database: str | None = None, ordered: bool = False, top_n: int = 5) -> dict[str, int]:
-    """Sales fact (current + archive) and the seven pricing outputs."""
+                   database: str | None = None, ordered: bool = False, top_n: int = 5,
+                   rollup: DataFrame | None = None) -> dict[str, int]:
+    """Sales fact (current + archive) and the seven pricing outputs.
+
+    ``rollup`` is the maintained monthly rollup of current and archived lines
+    (``plans.rollup``); the four outputs on whole months then read it, and of
+    the archive only the purchase trend and retention read lines.
+    """
     products = bronze["products_raw"]
     current = op.sales_fact(bronze["orders_raw"], bronze["order_items_raw"], products)
     # The archive is already a file dataset; only the joined current lines
-    # are written once, and the union of the two is two plain scans.  The best
-    # customers, which two outputs share, are found and written once as well.
+    # are written once, and the union of the two is two plain scans.
     with materialized(spark, op.conform(current), "sales_current") as current:
         sales = op.with_history(current, history)
-        with materialized(spark, op.best_customers(sales, top_n), "best_customers") as top:
-            return _write_all(spark, {
-                "peak_sales_months": op.peak_sales_months(sales),
-                "top_customers": op.best_customer_products(sales, products, top=top),
-                "customer_purchase_trend": op.purchase_trend(sales),
-                "retention_rate_pct": op.yearly_retention(sales),
-                "month_over_month_growth_pct": op.product_growth(sales, products),
-                "yoy_comparison": op.yoy_comparison(sales, products, top=top),
-                "customer_segments": op.customer_segments(current),
-            }, target, database, ordered)
+        months = sales if rollup is None else rollup
+        # The best customers, which two outputs share, are found once; their
+        # ids are predicates on the scans of both.
+        top = op.top_customer_ids(months, top_n)
+        return _write_all(spark, {
+            "peak_sales_months": op.peak_sales_months(months),
+            "top_customers": op.best_customer_products(months, products, top=top),
+            "customer_purchase_trend": op.purchase_trend(sales),
+            "retention_rate_pct": op.yearly_retention(sales),
+            "month_over_month_growth_pct": op.product_growth(months, products),
+            "yoy_comparison": op.yoy_comparison(months, products, top=top),
+            "customer_segments": op.customer_segments(current),
+        }, target, database, ordered)

@@ -14,6 +14,8 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A skewed join is split even where an aggregate uses its partitioning.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -63,3 +65,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    store, folder = _file_system(spark, path)
+    return store.exists(folder)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote; one that is not there is no error."""
+    store, folder = _file_system(spark, path)
+    store.delete(folder, True)

@@ -33,9 +33,13 @@ class Fixture:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+        """A test table; its files are listed and its schema read once per binding."""
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+        return self._raw[name]
 
     # -- relational tables -------------------------------------------------
     def customers(self) -> DataFrame:
