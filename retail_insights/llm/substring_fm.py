@@ -42,7 +42,7 @@ CROWD = 1024
 #: Windows in a piece of a divided group, level by level.
 PIECES = [12, 1]
 #: Words that a task hashes, and words of an index.
-UNIT, SHARD = 1 << 18, 1 << 17
+UNIT, SHARD = 1 << 18, 1 << 18
 #: Words whose hashes a task remembers.
 REMEMBERED = 1 << 18
 SEGMENTS = "doc_id long, dh long, size int, start long, run int, anchor long, content long, place int"
@@ -298,10 +298,11 @@ def without_earlier_words(docs: DataFrame, length: int = LENGTH, gram: int = GRA
     segments = materialize(long.mapInArrow(_segmenter(length, gram, unit), SEGMENTS), "segments")
     shared = segments.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     # Equal segments once: the place in the least document, and the last document that holds them.
+    # As one value, anchor and content are dealt anew after the join, which then may split a hot anchor.
     again = materialize(
-        segments.join(shared.select("anchor"), "anchor").groupBy("anchor", "content").agg(
-            F.min(F.struct("doc_id", "dh", "size", "start", "run", "place")).alias("at"),
-            F.max("doc_id").alias("last")).select("anchor", "content", "last", "at.*"), "shared")
+        segments.join(shared.select("anchor"), "anchor").withColumn("both", F.struct("anchor", "content"))
+        .groupBy("both").agg(F.min(F.struct("doc_id", "dh", "size", "start", "run", "place")).alias("at"),
+                             F.max("doc_id").alias("last")).select("both.*", "last", "at.*"), "shared")
     release(spark)
     same = ["doc_id", "dh", "size"]
     wanted = again.groupBy(*same).agg(F.collect_list(F.struct("start", "run", "anchor", "content", "place", "last")).alias("wanted"))
