@@ -296,11 +296,14 @@ def without_earlier_words(docs: DataFrame, length: int = LENGTH, gram: int = GRA
     has_window = F.col("doc_id").isNotNull() & (F.col("size") >= 2 * length - 1)
     long = d.where(has_window)
     segments = materialize(long.mapInArrow(_segmenter(length, gram, unit), SEGMENTS), "segments")
-    shared = segments.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+    shared = materialize(
+        segments.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+        .select("anchor"), "anchors")
     # Equal segments once: the place in the least document, and the last document that holds them.
-    # As one value, anchor and content are dealt anew after the join, which then may split a hot anchor.
+    # As one value, anchor and content are dealt anew after the join; with the anchors read from a table,
+    # nothing ties the join to its partitioning, and a hot anchor is split.
     again = materialize(
-        segments.join(shared.select("anchor"), "anchor").withColumn("both", F.struct("anchor", "content"))
+        segments.join(shared, "anchor").withColumn("both", F.struct("anchor", "content"))
         .groupBy("both").agg(F.min(F.struct("doc_id", "dh", "size", "start", "run", "place")).alias("at"),
                              F.max("doc_id").alias("last")).select("both.*", "last", "at.*"), "shared")
     release(spark)
