@@ -27,8 +27,8 @@ import zlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_insights.llm.common import materialize, only, table
-from retail_insights.llm.tokens import END_ID, TOKENIZER, ChunkEncoder
+from retail_insights.llm.common import materialize, only, table, text_batches
+from retail_insights.llm.tokens import END_ID, TOKENIZER, process_encoder
 
 CAPACITY = 1024
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, task int, local_rank long")
@@ -118,7 +118,7 @@ def _cutter(capacity: int, tokenizer: str, end_id: int):
         task = TaskContext.get().partitionId()
         encoder, seen = None, np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            encoder = encoder or ChunkEncoder(tokenizer)
+            encoder = encoder or process_encoder(tokenizer)
             end = np.array([end_id], encoder.dtype).tobytes()
             cols = [[] for _ in range(6)]
             for doc, found in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
@@ -166,6 +166,7 @@ def _placer(where: dict):
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text",
                    tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    text_batches(docs.sparkSession)
     d = only(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     pieces = materialize(d.mapInArrow(_cutter(capacity, tokenizer, end_id), PIECES), "pieces")
     counts = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))

@@ -29,8 +29,8 @@ import zlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_insights.llm.common import only, scratch_path, table
-from retail_insights.llm.tokens import END_ID, TOKENIZER, ChunkEncoder
+from retail_insights.llm.common import only, scratch_path, table, text_batches
+from retail_insights.llm.tokens import END_ID, TOKENIZER, process_encoder
 
 # Fixed value: the constant added to a rotated checksum.
 MASK_DELTA = 0xA282EAD8
@@ -76,7 +76,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
             if not batch.num_rows:
                 continue
             if out is None:
-                encoder = ChunkEncoder(tokenizer)
+                encoder = process_encoder(tokenizer)
                 store, base = fs.FileSystem.from_uri(folder)
                 store.create_dir(base, recursive=True)
                 final = f"{base}/part-{part:06d}.records"
@@ -110,6 +110,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
 def write_records(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text",
                   tokenizer: str = TOKENIZER, end_id: int = END_ID) -> None:
     """Write ``folder/records/part-*.records`` and the index ``folder/index``."""
+    text_batches(docs.sparkSession)
     d = only(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("id"),
                                             F.col(text_col).alias("text"))
     ordered = d.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id", F.xxhash64("text"), "text")

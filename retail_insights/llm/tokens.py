@@ -2,8 +2,12 @@
 
 The byte-level pre-tokenizer always splits before a single space that stands
 between two other characters, and around a line break between two of them, so
-a text is cut there and the library encodes each distinct chunk once per task.
-The chunk store is bounded: a full one is emptied, and the ids do not depend on it.
+a text is cut there and the library encodes each distinct chunk once while a
+worker process remembers it.  The chunk store has two generations of bounded
+size: what is used moves to the younger one, and when that is full the older one
+is dropped.  The ids do not depend on it.
+
+A worker process keeps one encoder for all its tasks.
 """
 
 from __future__ import annotations
@@ -14,8 +18,10 @@ import numpy as np
 
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
-#: Entries of the chunk store, about 250 bytes each.
-STORE_ENTRIES = 700_000
+#: Bytes that a generation of the chunk store may take, by the estimate below.
+STORE_BYTES = 72 << 20
+#: Bytes of an entry besides its characters and ids: two objects and a slot.
+ENTRY_BYTES = 190
 #: Chunks in one string for the library.
 JOINED = 200
 
@@ -28,11 +34,23 @@ _SPACES = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
+def process_encoder(name: str = TOKENIZER) -> ChunkEncoder:
+    """The encoder of this worker process, made at first use.  Task functions
+    arrive by value, without the globals of their module, so it is kept with the
+    interpreter."""
+    import sys
+
+    kept = sys.__dict__.setdefault("_retail_insights_encoders", {})
+    if name not in kept:
+        kept[name] = ChunkEncoder(name)
+    return kept[name]
+
+
 class ChunkEncoder:
     """``encode(texts)`` gives one little-endian id array (bytes) per text,
     two bytes an id where the vocabulary allows it, else four."""
 
-    def __init__(self, name: str = TOKENIZER, entries: int = STORE_ENTRIES):
+    def __init__(self, name: str = TOKENIZER, store_bytes: int = STORE_BYTES):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -41,38 +59,48 @@ class ChunkEncoder:
 
         self.tok = Tokenizer.from_file(public_tokenizers.path(name))
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-        self.entries = entries
         vocab = self.tok.get_vocab()
         self.token_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
             self.token_bytes[i] = len(token)  # one character stands for one byte
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {}
+        # The vocabulary's characters for a space and a line break.
+        self.opens = np.zeros(len(self.token_bytes), bool)
+        self.opens[[i for token, i in vocab.items() if token[0] in "\u0120\u010a"]] = True
+        self.first: dict[str, bytes] = {}  # chunks that begin a text
+        self.rest: dict[str, bytes] = {}  # chunks after a space
+        self.older: tuple[dict, dict] = ({}, {})
+        self.store_bytes, self.held = store_bytes, 0
 
     def _library(self, chunks: list[str]) -> list[bytes]:
         """Ids of each chunk.  Chunks that end in something other than white
-        space go to the library in joined strings, and the ids are parted by
-        the byte lengths of their tokens."""
+        space go to the library in joined strings, and the ids are parted where
+        a token begins with a space or line break; if that is not once a chunk,
+        by the byte lengths of the tokens."""
         alone = [c for c in chunks if MARK in c or not c or c[-1].isspace() or c[0] not in " \n"]
         joined = list(set(chunks).difference(alone))
         found = dict(zip(alone, (np.array(e.ids, self.dtype).tobytes() for e in
                                  self.tok.encode_batch_fast(alone, add_special_tokens=False))))
         groups = [joined[k:k + JOINED] for k in range(0, len(joined), JOINED)]
         encoded = self.tok.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)
+        width = self.dtype.itemsize
         for group, e in zip(groups, encoded):
             ids = np.array(e.ids, self.dtype)
-            ends = np.cumsum(self.token_bytes[ids])
-            cuts = np.searchsorted(ends, np.cumsum([len(c.encode()) for c in group])) + 1
-            raw, width, at = ids.tobytes(), self.dtype.itemsize, 0
-            for c, cut in zip(group, (cuts * width).tolist()):
-                found[c] = raw[at:cut]
-                at = cut
+            begin = np.flatnonzero(self.opens[ids])
+            if len(begin) != len(group):
+                ends = np.cumsum(self.token_bytes[ids])
+                begin = np.searchsorted(ends, np.cumsum([0] + [len(c.encode()) for c in group[:-1]]), "right")
+            raw, cuts = ids.tobytes(), (begin * width).tolist()
+            found.update(zip(group, map(raw.__getitem__, map(slice, cuts, [*cuts[1:], None]))))
         return [found[c] for c in chunks]
 
-    def _fetch(self, store: dict[str, bytes], chunks: set[str], lead: str) -> None:
-        new = list(chunks.difference(store))
+    def _fetch(self, store: dict[str, bytes], older: dict[str, bytes], chunks: set[str], lead: str) -> None:
+        """Put ``chunks``, none of which is in ``store``, into it."""
+        known = chunks.intersection(older) if older else ()
+        store.update([(c, older[c]) for c in known])
+        new = list(chunks.difference(known)) if known else list(chunks)
         if new:
             store.update(zip(new, self._library([c if c[:1] == "\n" else lead + c for c in new])))
+        self.held += sum(map(len, chunks)) + ENTRY_BYTES * len(chunks)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
@@ -81,26 +109,24 @@ class ChunkEncoder:
         return out
 
     def _some(self, texts: list[str | None]) -> list[bytes]:
-        parts = []
+        if self.held > self.store_bytes:
+            self.older, self.first, self.rest, self.held = (self.first, self.rest), {}, {}, 0
+        heads, parts = [], []
         for t in texts:
             t = t or ""
-            if _SPACES.search(t):
-                parts.append(_CUT.split(t))
-            else:
-                # A line break is a token of its own here: it starts a chunk that takes no space.
-                parts.append(t.replace("\n", " \n").split(" "))
-        heads, tails = {p[0] for p in parts}, set()
-        for p in parts:
-            tails.update(p[1:])
+            # A line break is a token of its own where no other space is near: it starts a chunk that takes no space.
+            part = _CUT.split(t) if _SPACES.search(t) else t.replace("\n", " \n").split(" ")
+            heads.append(part[0])
+            del part[0]
+            parts.append(part)
         first, rest = self.first, self.rest
-        if len(first) + len(rest) > self.entries:
-            first.clear()
-            rest.clear()
+        new = set().union(*parts).difference(rest)
         # A word and the one mark after it are two tokens.
-        split = [c for c in tails.difference(rest) if c[-1:] in MARKS and c[:-1].isalpha()]
-        heads.update(MARKS)
-        self._fetch(first, heads, "")
-        tails.difference_update(split)
-        self._fetch(rest, tails.union([c[:-1] for c in split]), " ")
+        split = [c for c in new if c[-1:] in MARKS and c[:-1].isalpha()]
+        self._fetch(first, self.older[0], MARKS.union(heads).difference(first), "")
+        new.difference_update(split)
+        new.update([c for c in [c[:-1] for c in split] if c not in rest])
+        self._fetch(rest, self.older[1], new, " ")
         rest.update([(c, rest[c[:-1]] + first[c[-1]]) for c in split])
-        return [first[p[0]] + b"".join(map(rest.__getitem__, p[1:])) for p in parts]
+        self.held += sum(map(len, split)) + ENTRY_BYTES * len(split)
+        return [first[h] + b"".join(map(rest.__getitem__, p)) for h, p in zip(heads, parts)]
