@@ -24,8 +24,10 @@ def sales_fact(orders: DataFrame, order_items: DataFrame, products: DataFrame |
 
     Lines meet their orders first, so a filter on the orders reduces the lines
     before anything else is shuffled, and tables bucketed by ``order_id`` join
-    without an exchange.  The product check comes after it, and leaves the fact
-    partitioned by product when products are too many to broadcast.
+    without an exchange.  The product check comes after it, as an inner join on
+    the unique product key (a semi-join would be pushed below the order join,
+    and all lines shuffled by product first).  It leaves the fact partitioned by
+    product when products are too many to broadcast.
 
     Without ``products`` the lines are taken as known (:func:`known_lines`).
     The fact then keeps the join's partitioning by order, on which a per-order
@@ -34,7 +36,7 @@ def sales_fact(orders: DataFrame, order_items: DataFrame, products: DataFrame |
     joined = orders.select("order_id", "customer_id", "order_date").join(
         order_items.select("order_id", "product_id", "quantity", "unit_price"), "order_id")
     if products is not None:
-        joined = joined.join(products.select("product_id"), "product_id", "left_semi")
+        joined = joined.join(products.select("product_id"), "product_id")
     return joined.select(
         "order_id", "customer_id", "order_date", "product_id", "quantity", "unit_price",
         (F.col("quantity") * F.col("unit_price")).alias("sales_amount"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from retail_insights import schemas
-from retail_insights.sinks import publish_table, write_files
+from retail_insights.sinks import publish_checked, unique_key, write_checked
 from retail_insights.sources import read_documents, read_files, read_jdbc, read_typed_documents
 
 # Source tables and the bronze datasets they land in.
@@ -34,6 +34,9 @@ DOCUMENT_TABLES = {
 
 #: Tables that must be unique by a column: later joins count on it.
 UNIQUE = {"products_raw": "product_id"}
+#: Tables that meet by a key can share buckets of it, so that joining them
+#: needs no shuffle.
+BUCKETED = {"orders_raw": ["order_id"], "order_items_raw": ["order_id"]}
 #: Declared schemas of the bronze datasets.
 SCHEMAS = {
     "customers_raw": schemas.CUSTOMERS,
@@ -76,17 +79,17 @@ def declared(df: DataFrame, name: str) -> DataFrame:
         for k, c in have.items()])
 
 
-def _land(spark: SparkSession, df: DataFrame, name: str, target: str, database: str | None) -> int:
-    """Write one bronze dataset, as a catalog table if ``database`` is given,
-    and check its unique key on what was written."""
-    path = os.path.join(target, name)
-    n = publish_table(spark, df, f"{database}.{name}", path=path) if database else write_files(df, path)
+def _land(spark: SparkSession, df: DataFrame, name: str, target: str, database: str | None,
+          buckets: int | None = None) -> int:
+    """Stage one bronze dataset, check its unique key, and only then publish it
+    (as a catalog table if ``database`` is given): a failed check leaves what
+    was there before."""
     key = UNIQUE.get(name)
-    if key in df.columns:
-        twice = spark.read.parquet(path).groupBy(key).count().where("count > 1").select(key).take(3)
-        if twice:
-            raise ValueError(f"{name}: {key} is not unique, e.g. {[r[0] for r in twice]}")
-    return n
+    checks = [unique_key(key)] if key in df.columns else []
+    if database:
+        by = (buckets, BUCKETED[name]) if buckets and name in BUCKETED else None
+        return publish_checked(spark, df, f"{database}.{name}", target, checks, bucket_by=by)
+    return write_checked(spark, df, os.path.join(target, name), checks)
 
 
 def ingest_jdbc(
@@ -95,14 +98,16 @@ def ingest_jdbc(
     target: str,
     properties: dict[str, str] | None = None,
     database: str | None = None,
+    buckets: int | None = None,
 ) -> dict[str, int]:
-    """Copy each table to ``<target>/<name>`` in its declared types, and
-    register it in ``database`` if given; returns rows written per name."""
+    """Copy each table in its declared types to ``<target>/<name>``, or to a
+    table of ``database`` if given, there with orders and their lines in
+    ``buckets`` of one order key; returns rows written per name."""
     counts = {}
     for t in tables:
         df = read_jdbc(spark, t.url, t.table, properties, t.partition_column, t.lower_bound,
                        t.upper_bound, t.num_partitions, t.fetch_size)
-        counts[t.name] = _land(spark, declared(df, t.name), t.name, target, database)
+        counts[t.name] = _land(spark, declared(df, t.name), t.name, target, database, buckets)
     return counts
 
 
@@ -114,9 +119,9 @@ def ingest_documents(
     database: str | None = None,
     typed: bool = False,
 ) -> dict[str, int]:
-    """Copy document-store exports ``{name: (path, schema)}`` to
-    ``<target>/<name>``, nested fields kept, and register them in ``database``
-    if given.  ``typed`` reads exports whose values carry their type."""
+    """Copy document-store exports ``{name: (path, schema)}``, nested fields
+    kept, to ``<target>/<name>`` or to tables of ``database`` if given.
+    ``typed`` reads exports whose values carry their type."""
     counts = {}
     for name, (path, schema) in exports.items():
         if typed:
@@ -143,4 +148,4 @@ def convert_files(
     df = read_files(spark, source, format, options, schema)
     if transform is not None:
         df = df.transform(transform)
-    return write_files(df, target, "parquet", "overwrite")
+    return write_checked(spark, df, target)

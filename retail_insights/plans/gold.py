@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from retail_insights import operators as op
 from retail_insights.plans.presentation import presented
 from retail_insights.session import delete_folder, scratch_path
-from retail_insights.sinks import publish_table, write_files
+from retail_insights.sinks import publish_checked, write_checked
 
 
 @contextmanager
@@ -37,16 +37,16 @@ def materialized(spark: SparkSession, df: DataFrame, name: str):
 
 def _write_all(spark: SparkSession, outputs: dict[str, DataFrame], target: str,
                database: str | None, ordered: bool = False) -> dict[str, int]:
-    """``ordered`` sorts each output as the source presents it."""
+    """Publish each output as a table of ``database`` if given, else as
+    ``<target>/<name>``.  ``ordered`` sorts it as the source presents it."""
     counts = {}
     for name, df in outputs.items():
         if ordered:
             df = presented(df, name)
-        path = os.path.join(target, name)
         if database:
-            counts[name] = publish_table(spark, df, f"{database}.{name}", path=path)
+            counts[name] = publish_checked(spark, df, f"{database}.{name}", target)
         else:
-            counts[name] = write_files(df, path)
+            counts[name] = write_checked(spark, df, os.path.join(target, name))
     return counts
 
 

@@ -81,3 +81,35 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote; one that is not there is no error."""
     store, folder = _file_system(spark, path)
     store.delete(folder, True)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if it is not there."""
+    store, folder = _file_system(spark, path)
+    return [s.getPath().getName() for s in store.listStatus(folder)] if store.exists(folder) else []
+
+
+def rename_folder(spark: SparkSession, path: str, to: str) -> None:
+    store, folder = _file_system(spark, path)
+    if not store.rename(folder, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of one small file."""
+    store, file = _file_system(spark, path)
+    stream = store.open(file)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file, with its folder; a file that is there is an error."""
+    store, file = _file_system(spark, path)
+    stream = store.create(file, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()

@@ -79,7 +79,7 @@ def read_typed_documents(
     as plain documents of ``schema``.  ``item`` names the field around each
     document (None: no such field).  A document in which a field's value has
     another type than the schema's stops the read."""
-    typed = _typed(schema)["M"].dataType
+    typed = typed_fields(schema)
     if item is not None:
         typed = StructType([StructField(item, typed)])
     df = _reader(spark, "json", options, typed).load(path)
@@ -90,40 +90,54 @@ def read_typed_documents(
         root = lambda name: F.col("_d")[name]
     else:
         root = F.col
-    return df.select([_plain(root(f.name), f.dataType, f.name).alias(f.name) for f in schema.fields])
+    return df.select([untyped(root(f.name), f.dataType, _stop, f.name).alias(f.name) for f in schema.fields])
+
+
+def typed_tag(kind: DataType) -> str:
+    """The tag under which an export holds values of ``kind``."""
+    if isinstance(kind, StructType):
+        return "M"
+    if isinstance(kind, ArrayType):
+        return "L"
+    return "BOOL" if isinstance(kind, BooleanType) else "N" if isinstance(kind, NumericType) else "S"
+
+
+def typed_fields(schema: StructType) -> StructType:
+    """The fields of documents of ``schema`` in their typed form."""
+    return StructType([StructField(f.name, _typed(f.dataType)) for f in schema.fields])
 
 
 def _typed(kind: DataType) -> StructType:
     """The typed form of a value: one field per tag that can hold it."""
     if isinstance(kind, StructType):
-        inner = StructType([StructField(f.name, _typed(f.dataType)) for f in kind.fields])
-        tags = [StructField("M", inner)]
+        inner = typed_fields(kind)
     elif isinstance(kind, ArrayType):
-        tags = [StructField("L", ArrayType(_typed(kind.elementType)))]
-    elif isinstance(kind, BooleanType):
-        tags = [StructField("BOOL", BooleanType())]
-    elif isinstance(kind, NumericType):
-        tags = [StructField("N", StringType())]
+        inner = ArrayType(_typed(kind.elementType))
     else:
-        tags = [StructField("S", StringType())]
-    return StructType([*tags, StructField("NULL", BooleanType())])
+        inner = BooleanType() if isinstance(kind, BooleanType) else StringType()
+    return StructType([StructField(typed_tag(kind), inner), StructField("NULL", BooleanType())])
 
 
-def _plain(value: Column, kind: DataType, path: str) -> Column:
-    """The plain value; a value under none of the expected tags raises."""
+def untyped(value: Column, kind: DataType, otherwise=None, path: str = "") -> Column:
+    """The plain value of a typed one.  ``otherwise(path, tag)`` is what stands
+    for a value under none of the expected tags (default: NULL)."""
+    tag = typed_tag(kind)
     if isinstance(kind, StructType):
-        tag, inner = "M", F.struct(*[
-            _plain(value["M"][f.name], f.dataType, f"{path}.{f.name}").alias(f.name) for f in kind.fields])
+        inner = F.struct(*[untyped(value["M"][f.name], f.dataType, otherwise, f"{path}.{f.name}").alias(f.name)
+                           for f in kind.fields])
     elif isinstance(kind, ArrayType):
-        tag, inner = "L", F.transform(value["L"], lambda x: _plain(x, kind.elementType, f"{path}[]"))
+        inner = F.transform(value["L"], lambda x: untyped(x, kind.elementType, otherwise, f"{path}[]"))
     else:
-        tag = "BOOL" if isinstance(kind, BooleanType) else "N" if isinstance(kind, NumericType) else "S"
-        inner = value[tag].cast(kind)
-    wrong = F.raise_error(F.lit(f"{path}: no value of type {tag}"))
+        inner = value[tag].try_cast(kind) if otherwise is None else value[tag].cast(kind)
+    wrong = F.lit(None) if otherwise is None else otherwise(path, tag)
     return F.when(value.isNull() | F.coalesce(value["NULL"], F.lit(False)), F.lit(None)).when(
         value[tag].isNotNull(), inner).otherwise(wrong).cast(kind)
 
 
+def _stop(path: str, tag: str) -> Column:
+    return F.raise_error(F.lit(f"{path}: no value of type {tag}"))
+
+
 def _reader(spark, format, options, schema):
     opts = dict(options or {})
     if schema is not None and format in ("csv", "json"):

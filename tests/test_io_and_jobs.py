@@ -136,8 +136,8 @@ def test_gold_jobs_end_to_end(spark, tmp_path):
     # The copies that the pricing outputs shared are gone.
     root = spark.conf.get("spark.checkpoint.dir")
     assert not [n for n in os.listdir(root) if n.startswith(("sales_current-", "best_customers-"))]
-    written = spark.read.parquet(os.path.join(target, "customer_segments"))
-    assert written.count() == 136
+    assert spark.table("gold_r1.customer_segments").count() == 136
+    assert spark.read.parquet(os.path.join(target, "churn_risk")).count() == counts["churn_risk"]
 
 
 def test_as_of_defaults_to_current_date(spark):

@@ -24,6 +24,8 @@ SKEW_CONF = {
     # disk it is a smaller multiple of the median than its row count.
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    # A partition is split along the map tasks that wrote it: small stages keep theirs.
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
     "spark.sql.shuffle.partitions": "16",
 }
 HOT_ORDER = 7
@@ -106,8 +108,8 @@ def test_hot_product_in_the_sales_fact(spark, skew_conf):
         .otherwise(F.col("product_id")))
     fact = sales_fact(f.orders(), items, f.products())
     plan = _final_plan(fact.groupBy("order_year").agg(F.count(F.lit(1)).alias("n")))
-    # The semi-join with the products is split at the hot product.
-    assert re.search(r"SortMergeJoin\(skew=true\).*LeftSemi", plan)
+    # The join with the products is split at the hot product.
+    assert re.search(r"SortMergeJoin\(skew=true\) \[product_id", plan)
     assert fact.count() == items.count()
     hot = items.filter(F.col("product_id") == 11)
     assert hot.count() > items.count() / 4
