@@ -2,10 +2,11 @@
 
 The byte-level pre-tokenizer always splits before a single space that stands
 between two other characters, and around a line break between two of them, so
-a text is cut there and the library encodes each distinct chunk once while a
-worker process remembers it.  The chunk store has two generations of bounded
-size: what is used moves to the younger one, and when that is full the older one
-is dropped.  The ids do not depend on it.
+a text is cut there.  The ids of a chunk are found once while a worker process
+remembers it: plain words by the library's model, other chunks by the whole
+library.  The store has two generations of bounded size: what is used moves to
+the younger one, and when that is full the older one is dropped.  The ids do not
+depend on it.
 
 A worker process keeps one encoder for all its tasks.
 """
@@ -13,22 +14,24 @@ A worker process keeps one encoder for all its tasks.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 
 import numpy as np
 
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 #: Bytes that a generation of the chunk store may take, by the estimate below.
-STORE_BYTES = 72 << 20
+STORE_BYTES = 64 << 20
 #: Bytes of an entry besides its characters and ids: two objects and a slot.
 ENTRY_BYTES = 190
-#: Chunks in one string for the library.
-JOINED = 200
 
 #: The special token of the vocabulary; its text in a document gives its id, as the library does by default.
 MARK = "<|endoftext|>"
 #: Marks that end a chunk often; after letters they are tokens of their own.
 MARKS = frozenset(".,!?;:")
+#: Letters below this character are letters in every version of Unicode in use.
+LETTERS_BELOW = "\u0250"
 
 _SPACES = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -38,14 +41,36 @@ def process_encoder(name: str = TOKENIZER) -> ChunkEncoder:
     """The encoder of this worker process, made at first use.  Task functions
     arrive by value, without the globals of their module, so it is kept with the
     interpreter."""
-    import sys
-
     kept = sys.__dict__.setdefault("_retail_insights_encoders", {})
     if name not in kept:
         kept[name] = ChunkEncoder(name)
     return kept[name]
 
 
+def _is_word(chunk: str) -> bool:
+    """Letters alone: the pre-tokenizer keeps them in one piece."""
+    return chunk.isalpha() and (chunk.isascii() or max(chunk) < LETTERS_BELOW)
+
+
+class _Chunks(dict):
+    """Chunk -> ids (bytes); a missing one is found and kept."""
+
+    def __init__(self, find, limit: int):
+        self.find, self.limit, self.held, self.older = find, limit, 0, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = self.find(chunk)
+        self.held += len(chunk) + len(ids) + ENTRY_BYTES
+        if self.held > self.limit:
+            self.older = dict(self)
+            self.clear()
+            self.held = len(chunk) + len(ids) + ENTRY_BYTES
+        self[chunk] = ids
+        return ids
+
+
 class ChunkEncoder:
     """``encode(texts)`` gives one little-endian id array (bytes) per text,
     two bytes an id where the vocabulary allows it, else four."""
@@ -58,75 +83,53 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(public_tokenizers.path(name))
+        self.model = self.tok.model
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-        vocab = self.tok.get_vocab()
-        self.token_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
-        for token, i in vocab.items():
-            self.token_bytes[i] = len(token)  # one character stands for one byte
-        # The vocabulary's characters for a space and a line break.
-        self.opens = np.zeros(len(self.token_bytes), bool)
-        self.opens[[i for token, i in vocab.items() if token[0] in "\u0120\u010a"]] = True
-        self.first: dict[str, bytes] = {}  # chunks that begin a text
-        self.rest: dict[str, bytes] = {}  # chunks after a space
-        self.older: tuple[dict, dict] = ({}, {})
-        self.store_bytes, self.held = store_bytes, 0
-
-    def _library(self, chunks: list[str]) -> list[bytes]:
-        """Ids of each chunk.  Chunks that end in something other than white
-        space go to the library in joined strings, and the ids are parted where
-        a token begins with a space or line break; if that is not once a chunk,
-        by the byte lengths of the tokens."""
-        alone = [c for c in chunks if MARK in c or not c or c[-1].isspace() or c[0] not in " \n"]
-        joined = list(set(chunks).difference(alone))
-        found = dict(zip(alone, (np.array(e.ids, self.dtype).tobytes() for e in
-                                 self.tok.encode_batch_fast(alone, add_special_tokens=False))))
-        groups = [joined[k:k + JOINED] for k in range(0, len(joined), JOINED)]
-        encoded = self.tok.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)
-        width = self.dtype.itemsize
-        for group, e in zip(groups, encoded):
-            ids = np.array(e.ids, self.dtype)
-            begin = np.flatnonzero(self.opens[ids])
-            if len(begin) != len(group):
-                ends = np.cumsum(self.token_bytes[ids])
-                begin = np.searchsorted(ends, np.cumsum([0] + [len(c.encode()) for c in group[:-1]]), "right")
-            raw, cuts = ids.tobytes(), (begin * width).tolist()
-            found.update(zip(group, map(raw.__getitem__, map(slice, cuts, [*cuts[1:], None]))))
-        return [found[c] for c in chunks]
-
-    def _fetch(self, store: dict[str, bytes], older: dict[str, bytes], chunks: set[str], lead: str) -> None:
-        """Put ``chunks``, none of which is in ``store``, into it."""
-        known = chunks.intersection(older) if older else ()
-        store.update([(c, older[c]) for c in known])
-        new = list(chunks.difference(known)) if known else list(chunks)
-        if new:
-            store.update(zip(new, self._library([c if c[:1] == "\n" else lead + c for c in new])))
-        self.held += sum(map(len, chunks)) + ENTRY_BYTES * len(chunks)
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        # The vocabulary's characters for bytes: printable ones of Latin-1 stand for themselves, the others follow 255.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.signs = {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)).difference(plain)))}
+        self.space, self.line = self.signs[32], self.library("\n")
+        self.first = _Chunks(self._first, store_bytes // 4)  # chunks that begin a text
+        self.rest = _Chunks(self._rest, store_bytes)  # chunks after a space, or that begin with a line break
+
+    def _packed(self, ids: list[int]) -> bytes:
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def library(self, text: str) -> bytes:
+        return self._packed(self.tok.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, word: str, lead: str) -> bytes:
+        """Ids of a word after ``lead``, by the library's model in its own
+        characters (those of ASCII letters are the letters)."""
+        piece = word if word.isascii() else word.encode().decode("latin-1").translate(self.signs)
+        return self._packed([t.id for t in self.model.tokenize(lead + piece)])
+
+    def _first(self, chunk: str) -> bytes:
+        return self._word(chunk, "") if _is_word(chunk) else self.library(chunk)
+
+    def _rest(self, chunk: str) -> bytes:
+        if _is_word(chunk):
+            return self._word(chunk, self.space)
+        if chunk[-1:] in MARKS:
+            head = chunk[:-1]
+            if _is_word(head) or head[:1] == "\n" and _is_word(head[1:]):
+                return self.rest[head] + self.first[chunk[-1]]  # a word and the one mark after it are two pieces
+        if chunk[:1] == "\n":
+            # The line break is a piece of its own, and the word after it takes no space.
+            return self.line + self.first[chunk[1:]] if _is_word(chunk[1:]) else self.library(chunk)
+        return self.library(" " + chunk)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        out: list[bytes] = []
-        for k in range(0, len(texts), 512):
-            out += self._some(texts[k:k + 512])
-        return out
-
-    def _some(self, texts: list[str | None]) -> list[bytes]:
-        if self.held > self.store_bytes:
-            self.older, self.first, self.rest, self.held = (self.first, self.rest), {}, {}, 0
-        heads, parts = [], []
+        first, found, out = self.first, self.rest.__getitem__, []
         for t in texts:
             t = t or ""
-            # A line break is a token of its own where no other space is near: it starts a chunk that takes no space.
-            part = _CUT.split(t) if _SPACES.search(t) else t.replace("\n", " \n").split(" ")
-            heads.append(part[0])
-            del part[0]
-            parts.append(part)
-        first, rest = self.first, self.rest
-        new = set().union(*parts).difference(rest)
-        # A word and the one mark after it are two tokens.
-        split = [c for c in new if c[-1:] in MARKS and c[:-1].isalpha()]
-        self._fetch(first, self.older[0], MARKS.union(heads).difference(first), "")
-        new.difference_update(split)
-        new.update([c for c in [c[:-1] for c in split] if c not in rest])
-        self._fetch(rest, self.older[1], new, " ")
-        rest.update([(c, rest[c[:-1]] + first[c[-1]]) for c in split])
-        self.held += sum(map(len, split)) + ENTRY_BYTES * len(split)
-        return [first[h] + b"".join(map(rest.__getitem__, p)) for h, p in zip(heads, parts)]
+            # Where no two white-space characters meet, a line break starts a chunk that takes no space.
+            parts = _CUT.split(t) if _SPACES.search(t) else t.replace("\n", " \n").split(" ")
+            head = first[parts[0]]
+            del parts[0]
+            out.append(head + b"".join(map(found, parts)))
+        return out

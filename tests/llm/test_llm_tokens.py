@@ -29,7 +29,7 @@ _SMALL_STORE = ChunkEncoder(store_bytes=20 * ENTRY_BYTES)  # generations change
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(st.sampled_from(list("ab \n\t'sé1.,漢\x1c\u0085\u3000")) | st.characters(codec="utf-8"),
+@given(st.lists(st.text(st.sampled_from(list("ab \n\t'sé1.,!漢\x1c\u0085\u3000ǅʰ\u0250")) | st.characters(codec="utf-8"),
                         max_size=60), max_size=5))
 def test_chunks_give_the_ids_of_whole_texts(texts):
     encoder = _SMALL_STORE
