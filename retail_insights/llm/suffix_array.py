@@ -185,22 +185,21 @@ def permuted_lcp(t, sa):
 
 def repeated_starts(strings: list[tuple[bytes, int]], length: int) -> list[list[tuple[int, int]]]:
     """For each ``(string, copies)`` the ranges of offsets at which a string of
-    ``length`` bytes starts that also starts at another place of the shard."""
-    placed, owner = [], []
-    for k, (s, copies) in enumerate(strings):
-        for c in range(min(copies, 2)):
-            placed.append(s)
-            owner.append((k, c))
-    t, starts, lengths = joined(placed)
-    sa = suffix_array(t, len(placed))
+    ``length`` bytes starts that also starts at another place of the shard.
+    Every start of a string with copies is one; it is sorted once, for the
+    others to be found by."""
+    t, starts, lengths = joined([s for s, _ in strings])
+    sa = suffix_array(t, len(strings))
     plcp, phi = permuted_lcp(t, sa)
     again = np.zeros(len(t), bool)
     hit = np.flatnonzero(plcp >= length)
     again[hit] = True
     again[phi[hit]] = True
-    out: list[list[tuple[int, int]]] = [[] for _ in strings]
-    for (k, c), s, n in zip(owner, starts.tolist(), lengths.tolist()):
-        if c == 0:
-            edge = np.diff(np.concatenate(([0], again[s:s + n].view(np.int8), [0])))
-            out[k] = list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()))
+    out: list[list[tuple[int, int]]] = []
+    for (_, copies), s, n in zip(strings, starts.tolist(), lengths.tolist()):
+        if copies > 1:
+            out.append([(0, n - length + 1)] if n >= length else [])
+            continue
+        edge = np.diff(np.concatenate(([0], again[s:s + n].view(np.int8), [0])))
+        out.append(list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())))
     return out

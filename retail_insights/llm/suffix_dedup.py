@@ -5,10 +5,11 @@ place (in the same or another document) is removed.  To bring equal strings
 together, each window of ``length`` bytes goes to the shard of its anchor, the
 least hash among its ``GRAM``-byte grams; equal windows have equal anchors.
 Neighbouring windows with one anchor travel as one segment.  Anchors met once
-are dropped, and equal segments travel as two copies at most, whatever their
-number, so a hot passage costs no more than a rare one.  Each shard builds a
-suffix array by induced sorting and permuted common prefixes (see
-``suffix_array``); those decide which windows occur again.
+are dropped, and equal segments travel once with their number, so a hot passage
+costs no more than a rare one; where all segments of an anchor are equal, that
+number settles them.  Each shard of different segments builds a suffix array by
+induced sorting and permuted common prefixes (see ``suffix_array``); those
+decide which windows occur again.
 
 An anchor with many different segments is divided: its segments are cut into
 pieces of at most ``g`` windows, which meet under the hash of the bytes that
@@ -177,7 +178,7 @@ def _sorter(length: int):
                     rows, size = [], 0
                 last = row[0]
                 rows.append(row)
-                size += len(row[3]) * min(row[2], 2)
+                size += len(row[3])
         if rows:
             yield solve(rows)
 
@@ -295,14 +296,21 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_
     segments = materialize(d.mapInArrow(
         _segmenter(length, gram),
         "doc_id long, dh long, size int, start long, run int, anchor long, content long, place int"), "segments")
-    # Equal segments once, with their number and one of their places.
-    kinds = segments.groupBy("anchor", "content").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_id", "dh", "size", "start", "run", "place")).alias("first"))
-    anchors = segments.groupBy("anchor").agg(F.count("*").alias("total")).where("total > 1").select("anchor")
-    again = materialize(kinds.join(anchors, "anchor").select("anchor", "content", "n", "first.*"), "repeated")
+    anchors = materialize(segments.groupBy("anchor").agg(F.count("*").alias("total")).where("total > 1").select("anchor"),
+                          "anchors")
+    # Equal segments once, with their number and one of their places.  As one value, anchor and content are
+    # dealt anew after the join; with the anchors read from a table, nothing ties the join to its
+    # partitioning, and a hot anchor is split.
+    again = materialize(
+        segments.join(anchors, "anchor").withColumn("both", F.struct("anchor", "content")).groupBy("both").agg(
+            F.count("*").alias("n"), F.min(F.struct("doc_id", "dh", "size", "start", "run", "place")).alias("first"))
+        .select("both.*", "n", "first.*"), "repeated")
     release(spark)
-    counted = again.join(again.groupBy("anchor").agg(F.count("*").alias("kinds")), "anchor")
-    wanted = counted.groupBy("doc_id", "dh", "size").agg(
+    kinds = materialize(again.groupBy("anchor").agg(F.count("*").alias("kinds")), "kinds")
+    counted = again.join(kinds, "anchor")
+    alike = counted.where("kinds = 1").select(
+        "anchor", "content", F.lit(0).cast("long").alias("from"), F.col("run").cast("long").alias("to"))
+    wanted = counted.where("kinds > 1").groupBy("doc_id", "dh", "size").agg(
         F.collect_list(F.struct("start", "run", "anchor", "content", "n", "kinds", "place")).alias("wanted"))
     same_doc = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["dh"] == b["dh"]) & (a["size"] == b["size"])
     # Rows that repeat id and text would give the same segments again.
@@ -311,7 +319,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_
         texts.select("text", "wanted").mapInArrow(
             _fetcher(length), "anchor long, content long, n long, kinds long, place long, text binary"), "texts")
     release(spark)
-    ranges = materialize(repeated_ranges(found, length).distinct(), "ranges")
+    ranges = materialize(repeated_ranges(found, length).distinct().unionByName(alike), "ranges")
     release(spark)
     spans = segments.join(ranges, ["anchor", "content"]).select(
         "doc_id", "dh", "size", F.struct((F.col("start") + F.col("from")).alias("a"),
