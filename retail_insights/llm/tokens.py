@@ -34,6 +34,9 @@ MARKS = frozenset(".,!?;:")
 LETTERS_BELOW = "\u0250"
 
 _SPACES = re.compile(r"\s\s")
+#: Other white space than the space and the line break, in ASCII and beyond.
+OTHER_SPACES = [chr(c) for c in range(128) if chr(c).isspace() and c not in (10, 32)]
+WIDE_SPACES = [chr(c) for c in range(128, 1 << 16) if chr(c).isspace()]
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -52,6 +55,15 @@ def _is_word(chunk: str) -> bool:
     return chunk.isalpha() and (chunk.isascii() or max(chunk) < LETTERS_BELOW)
 
 
+def _plainly_spaced(text: str) -> bool:
+    """True if all white space of a text is single spaces and line breaks, none
+    beside another.  Searches for fixed strings are much faster than the pattern."""
+    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
+        return False
+    return not any(c in text for c in OTHER_SPACES) and (
+        text.isascii() or not any(c in text for c in WIDE_SPACES))
+
+
 class _Chunks(dict):
     """Chunk -> ids (bytes); a missing one is found and kept."""
 
@@ -83,7 +95,7 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(public_tokenizers.path(name))
-        self.model = self.tok.model
+        self.tokenize = self.tok.model.tokenize
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         # The vocabulary's characters for bytes: printable ones of Latin-1 stand for themselves, the others follow 255.
@@ -106,7 +118,7 @@ class ChunkEncoder:
         """Ids of a word after ``lead``, by the library's model in its own
         characters (those of ASCII letters are the letters)."""
         piece = word if word.isascii() else word.encode().decode("latin-1").translate(self.signs)
-        return self._packed([t.id for t in self.model.tokenize(lead + piece)])
+        return self._packed([t.id for t in self.tokenize(lead + piece)])
 
     def _first(self, chunk: str) -> bytes:
         return self._word(chunk, "") if _is_word(chunk) else self.library(chunk)
@@ -128,7 +140,8 @@ class ChunkEncoder:
         for t in texts:
             t = t or ""
             # Where no two white-space characters meet, a line break starts a chunk that takes no space.
-            parts = _CUT.split(t) if _SPACES.search(t) else t.replace("\n", " \n").split(" ")
+            plain = _plainly_spaced(t) or not _SPACES.search(t)
+            parts = t.replace("\n", " \n").split(" ") if plain else _CUT.split(t)
             head = first[parts[0]]
             del parts[0]
             out.append(head + b"".join(map(found, parts)))
