@@ -5,17 +5,19 @@ A token is a run of letters, digits, ``+ / _ . -`` and non-ASCII bytes.  It is
 tagged outside (O), begin (B) or inside (I) of a secret from its own shape and
 length, the character before it, the shapes and words of its neighbours, and
 features of the whole text.  The model is trained by gradient descent on the
-conditional likelihood of windows from a bounded sample of documents, labelled
-by the values that the base patterns find.  Base spans always stay; decoded
-spans that overlap none of them are added as kind ``crf``.
+conditional likelihood of windows from a bounded sample of documents.  Their
+labels are the values that the base patterns find, the same values rewritten
+into forms that no base pattern finds (``REWRITES``), and, as the other side,
+values of like shape that are no secrets (``LOOKALIKES``).  Base spans always
+stay; decoded spans that overlap none of them are added as kind ``crf``.
 
 Decoding is exact: a token whose score for O leads by more than any two
 transitions can win back is O on every best path, so the text falls into
 short stretches between such tokens, and Viterbi runs on each.
 
 Prediction is one narrow pass.  Training sees ``SAMPLE_DOCS`` documents in
-expectation, chosen by hash, and at most ``SAMPLE_WINDOWS`` windows of either
-kind.
+expectation, chosen by hash, and at most ``SAMPLE_WINDOWS`` windows of each of
+four kinds.
 
 Defined results: null and empty texts have no spans; repeated rows are judged
 one by one; without a base span to learn from only base spans are found;
@@ -27,10 +29,10 @@ from __future__ import annotations
 import hashlib
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_insights.llm.common import only, table
+from retail_insights.llm.common import only, positional, table
 
 # Kinds in their order, and the base patterns.
 KINDS = ["assign", "access", "hex", "crf"]
@@ -40,13 +42,18 @@ HEX = r"[0-9a-f]+"
 MIN_LENGTH = {"assign": 6, "access": 20, "hex": 24}
 KEYWORDS = ["password", "passwd", "secret", "token", "apikey", "api_key"]
 
-SAMPLE_DOCS, SAMPLE_WINDOWS = 20_000, 2_000
+SAMPLE_DOCS, SAMPLE_WINDOWS = 20_000, 1_500
 #: Tokens on either side of a training window's centre.
 REACH = 6
-EPOCHS, RATE, DECAY = 60, 0.5, 1e-3
+EPOCHS, RATE, DECAY = 40, 0.5, 1e-3
+#: Share of the hard training tokens outside secrets (long ones, or with digits) that calibration may give up.
+FALSE_SHARE = 0.004
 WORDS = 4096
+HARD_LENGTH = 16
+#: Times that a sampled text with base spans is rewritten.
+VARIANTS = 6
 #: Sizes of the features, see ``token_features``.
-SIZES = [32, 64, 64, 8, WORDS, 64, 64, 16]
+SIZES = [32, 64, 64, 8, WORDS, 64, 64, 16, 64, 32]
 UNIT = 1 << 20
 MASK = "[SECRET]"
 
@@ -72,6 +79,86 @@ def _base(text: str) -> list[tuple[int, int, int, int]]:
     return out
 
 
+class _Draw:
+    """Characters drawn from a seed: the same text gives the same ones anywhere."""
+
+    def __init__(self, seed: str):
+        self.seed, self.k, self.pool = seed, 0, b""
+
+    def number(self, below: int) -> int:
+        if len(self.pool) < 4:
+            self.pool = hashlib.sha256(f"{self.seed}/{self.k}".encode()).digest()
+            self.k += 1
+        n, self.pool = int.from_bytes(self.pool[:4], "big"), self.pool[4:]
+        return n % below
+
+    def text(self, chars: str, least: int, most: int) -> str:
+        return "".join(chars[self.number(len(chars))] for _ in range(least + self.number(most - least + 1)))
+
+    def pick(self, choices):
+        return choices[self.number(len(choices))]
+
+
+# Alphabets of the drawn values.
+DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+MIXED = DIGITS + LOWER + UPPER
+
+
+def _mixed(draw: _Draw, least: int, most: int, more: str = "") -> str:
+    """Letters of both cases and digits, at least two of each."""
+    value = draw.text(MIXED + more, least - 6, most - 6) + "".join(draw.text(c, 2, 2) for c in (DIGITS, LOWER, UPPER))
+    at = draw.number(len(value))
+    return value[at:] + value[:at]
+
+
+#: Forms of a secret that no base pattern finds: (text before, value, text after).
+REWRITES = {
+    "upper hex": lambda d: (d.pick(["", "key ", "id="]), d.text(DIGITS + "ABCDEF", 32, 48), ""),
+    "base64": lambda d: (d.pick(["", "key: ", '"', "use "]), _mixed(d, 32, 64, "+/"), d.pick(["", "==", '"'])),
+    "mixed": lambda d: (d.pick(["", "pwd=", "auth ", "key = '"]), _mixed(d, 20, 44), ""),
+    "prefixed": lambda d: (d.pick(["", "export K=", "with "]), d.pick(["ghp_", "xoxb-", "pk_test_"]) + _mixed(d, 24, 40), ""),
+    "bearer": lambda d: ("Authorization: Bearer ", _mixed(d, 24, 60, "_-"), ""),
+    "dotted": lambda d: ("", ".".join(_mixed(d, n, n + 20, "_-") for n in (16, 24, 24)), ""),
+}
+#: Values that look like secrets and are none.
+LOOKALIKES = {
+    "uuid": lambda d: "-".join(d.text(DIGITS + "abcdef", n, n) for n in (8, 4, 4, 4, 12)),
+    "digits": lambda d: d.text(DIGITS, 8, 24),
+    "path": lambda d: "/" + "/".join(d.text(LOWER, 3, 9) for _ in range(4)) + d.text(DIGITS, 1, 2) + "." + d.text(LOWER, 2, 3),
+    "version": lambda d: ".".join(d.text(DIGITS, 1, 2) for _ in range(3)) + "-" + d.text(LOWER, 4, 8),
+    "time": lambda d: f"20{d.text(DIGITS, 2, 2)}-0{d.text(DIGITS, 1, 1)}-1{d.text(DIGITS, 1, 1)}T0{d.text(DIGITS, 1, 1)}",
+    "code": lambda d: d.text(UPPER, 2, 5) + "-" + d.text(DIGITS, 3, 8),
+    "name": lambda d: "".join(d.text(UPPER, 1, 1) + d.text(LOWER, 3, 8) for _ in range(4)),
+    "constant": lambda d: "_".join(d.text(UPPER, 4, 9) for _ in range(4)),
+    "word": lambda d: d.text(LOWER, 18, 30),
+    "identifier": lambda d: d.text(LOWER, 4, 8) + d.pick(["", "_"]) + d.text(LOWER, 4, 9) + d.text(DIGITS, 1, 3),
+}
+
+
+def rewritten(text: str, base: list[tuple[int, int, int, int]], variant: int = 0, rewrites=None, lookalikes=None):
+    """``text`` with each base span in another form, or a look-alike of one in
+    its place, and the (start, end) of the secret values."""
+    rewrites, lookalikes = rewrites or REWRITES, lookalikes or LOOKALIKES
+    out, values, size, at = [], [], 0, 0
+    draw = _Draw(f"{variant} {text}")
+    for _, a, b, _ in sorted(base, key=lambda s: s[1]):
+        if a < at:
+            continue
+        before, value, after = "", "", ""
+        if draw.number(2):
+            before, value, after = rewrites[draw.pick(sorted(rewrites))](draw)
+        else:
+            before = draw.pick(["", "key ", "id=", "use "]) + lookalikes[draw.pick(sorted(lookalikes))](draw)
+        start = size + a - at + len(before)
+        if value:
+            values.append((start, start + len(value)))
+        part = text[at:a] + before + value + after
+        out.append(part)
+        size += len(part)
+        at = b
+    return "".join(out) + text[at:], values
+
+
 def tokens(raw):
     """(starts, ends) of the tokens of a byte array."""
     import numpy as np
@@ -86,7 +173,8 @@ def tokens(raw):
 
 def token_features(raw, starts, ends, doc_of, file_level):
     """One row per token: length, shape, digits and letter-digit changes,
-    character before, word before, shapes before and after, file level."""
+    character before, word before, shapes before and after, file level,
+    changes of case with the length, and marks with the kinds of letters."""
     import numpy as np
 
     n = len(starts)
@@ -108,6 +196,9 @@ def token_features(raw, starts, ends, doc_of, file_level):
     letter = (kind <= 2)
     change = np.concatenate(([False], (letter[1:] & (kind[:-1] == 3)) | (letter[:-1] & (kind[1:] == 3))))
     changes = per_token(change)
+    lower_case = kind <= 1
+    case = np.concatenate(([False], (lower_case[1:] & (kind[:-1] == 2)) | (lower_case[:-1] & (kind[1:] == 2))))
+    cases = per_token(case)
     shape = ((low_hex + low_other > 0) * 1 + (upper > 0) * 2 + (digits > 0) * 4 + (marks > 0) * 8 + (wide > 0) * 16
              + ((low_other + upper + marks + wide == 0) & (length >= 8)) * 32)
     before = np.zeros(256, np.int64)
@@ -129,7 +220,9 @@ def token_features(raw, starts, ends, doc_of, file_level):
     if n:
         next_shape[:-1][~same[1:]] = 63
     columns = [np.minimum(length, 31), shape, np.minimum(digits, 7) * 8 + np.minimum(changes, 7), lead, prev_word,
-               prev_shape, next_shape, file_level[doc_of] if n else np.zeros(0, np.int64)]
+               prev_shape, next_shape, file_level[doc_of] if n else np.zeros(0, np.int64),
+               np.minimum(cases, 7) * 8 + np.minimum(length // 6, 7),
+               np.minimum(marks, 7) * 4 + (upper > 0) * 2 + (low_other > 0)]
     return np.stack(columns, axis=1).astype(np.int32)
 
 
@@ -208,6 +301,12 @@ class Tagger:
             gt += dt ** 2
             self.w -= RATE * dw / np.sqrt(gw)
             self.t -= RATE * dt / np.sqrt(gt)
+        # Calibration: as much less weight for O as leaves all but FALSE_SHARE of the hard outside tokens outside.
+        hard = mask & (y == 0) & ((x[:, :, 0] >= HARD_LENGTH) | (x[:, :, 2] >= 16))
+        if hard.any():
+            outside = np.clip(p[:, :, 0][hard], 1e-12, 1 - 1e-12)
+            lead = float(np.quantile(np.log(outside / (1 - outside)), FALSE_SHARE))
+            self.w[:SIZES[0], 0] -= max(0.0, lead)
         self.trained = True
         return self
 
@@ -291,40 +390,61 @@ def spans_text(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
+def _tags(text: str, s: Stretch, values: list[tuple[int, int]]):
+    """Tags of a text's tokens for the given values (code points)."""
+    import numpy as np
+
+    tag = np.zeros(len(s.starts), np.int64)
+    for a, e in values:
+        a, e = (len(text[:p].encode("utf-8", "surrogatepass")) for p in (a, e))
+        inside = np.flatnonzero((s.starts < e) & (s.ends > a))
+        tag[inside] = 2
+        tag[inside[:1]] = 1
+    return tag
+
+
 def _sampler(batches):
-    """Windows around tokens of base values, and one at a token chosen by hash."""
+    """Windows around tokens of base values and of rewritten ones (positive 1 and
+    2), around what replaced the others (3), and at tokens chosen by hash (0)."""
     import numpy as np
     import pyarrow as pa
 
     for batch in batches:
         rows, tags, found = [], [], []
+
+        def show(s, tag, k, positive):
+            a, e = max(0, k - REACH), min(len(tag), k + REACH + 1)
+            rows.append(s.x[a:e].reshape(-1).tolist())
+            tags.append(tag[a:e].tolist())
+            found.append(positive)
+
         for text in batch.column(0):
             text = text.as_py()
             raw = text.encode("utf-8", "surrogatepass")
             s = Stretch([raw])
-            n = len(s.starts)
-            if not n:
+            if not len(s.starts):
                 continue
             base = _base(text)
-            at = [len(text[:a].encode("utf-8", "surrogatepass")) for _, _, _, a in base]
-            to = [len(text[:e].encode("utf-8", "surrogatepass")) for _, _, e, _ in base]
-            tag = np.zeros(n, np.int64)
-            for a, e in zip(at, to):
-                inside = np.flatnonzero((s.starts < e) & (s.ends > a))
-                tag[inside] = 2
-                tag[inside[:1]] = 1
-            centres = [(int(k), 1) for k in np.flatnonzero(tag == 1)]
+            tag = _tags(text, s, [(a, e) for _, _, e, a in base])
+            for k in np.flatnonzero(tag == 1).tolist():
+                show(s, tag, k, 1)
             chosen = int(hashlib.md5(raw).hexdigest()[:8], 16)
-            centres.append((chosen % n, 0))
+            show(s, tag, chosen % len(tag), 0)
             # Ordinary tokens with digits are rare, so one of them is shown too.
             hard = np.flatnonzero((tag == 0) & (s.x[:, 2] > 0))
             if len(hard):
-                centres.append((int(hard[chosen % len(hard)]), 0))
-            for k, positive in centres:
-                a, e = max(0, k - REACH), min(n, k + REACH + 1)
-                rows.append(s.x[a:e].reshape(-1).tolist())
-                tags.append(tag[a:e].tolist())
-                found.append(positive)
+                show(s, tag, int(hard[chosen % len(hard)]), 0)
+            for variant in range(VARIANTS if base else 0):
+                other, values = rewritten(text, base, variant)
+                if any(a < f and b < e for a, e in values for _, b, f in base_spans(other)):
+                    continue
+                s = Stretch([other.encode("utf-8", "surrogatepass")])
+                tag = _tags(other, s, values)
+                for k in np.flatnonzero(tag == 1).tolist():
+                    show(s, tag, k, 2)
+                # What is neither a value nor as it was in the text: look-alikes.
+                for k in np.flatnonzero((tag == 0) & ((s.x[:, 2] >= 16) | (s.x[:, 0] >= HARD_LENGTH)))[:8].tolist():
+                    show(s, tag, k, 3)
         yield pa.RecordBatch.from_arrays(
             [pa.array(rows, pa.list_(pa.int32())), pa.array(tags, pa.list_(pa.int32())), pa.array(found, pa.int32())],
             names=["x", "y", "positive"])
@@ -342,9 +462,10 @@ def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOC
     sample = d.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(int(1_000_000 * min(1.0, sample_docs / n))))
     windows = sample.mapInArrow(_sampler, "x array<int>, y array<int>, positive int").groupBy("x", "y", "positive").agg(
         F.count("*").alias("n"))
-    rank = F.xxhash64("x", "y")
-    rows = [r for k in (1, 0) for r in
-            windows.where(F.col("positive") == k).orderBy(rank, "x", "y").limit(sample_windows).collect()]
+    # At most ``sample_windows`` of each kind leave a task, and reach the driver.
+    order = Window.partitionBy("positive").orderBy(F.xxhash64("x", "y"), "x", "y")
+    rows = windows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_windows).collect()
+    rows.sort(key=lambda r: (r["positive"], r["rank"]))
     width = 2 * REACH + 1
     x = np.zeros((len(rows), width, len(SIZES)), np.int64)
     y, mask = np.zeros((len(rows), width), np.int64), np.zeros((len(rows), width), bool)
@@ -405,7 +526,8 @@ def _masker(tagger: Tagger, text_at: int):
 
 def masked(docs: DataFrame, tagger: Tagger, text_col: str = "text") -> DataFrame:
     """The documents with every span replaced by ``[SECRET]``, all columns kept."""
-    return docs.mapInArrow(_masker(tagger, docs.columns.index(text_col)), docs.schema)
+    plain = positional(docs)
+    return plain.mapInArrow(_masker(tagger, docs.columns.index(text_col)), plain.schema).toDF(*docs.columns)
 
 
 def op8_secret_scan(spark, sf_dir):
