@@ -1,14 +1,16 @@
 """The corpus pipeline: five stages over ``documents``, each written as Parquet
 and read again as the next one's input.
 
-1. language ID: documents without a letter go (code lengths reject nothing);
+1. language ID: documents go that have no letter, or that even the best of the
+   learned languages codes in more than ``ppm_language.MAX_BITS`` bits a byte;
 2. SimHash near-dedup: of each group of linked documents the one with the
    least id stays;
 3. benchmark decontamination: documents that hold a benchmark item go;
 4. secret scans: every secret span is replaced by ``[SECRET]``;
 5. best-fit packing: the texts become pieces of full sequences.
 
-Stages 1-4 return the columns of their input.  A null or wordless text has no
+Stages 1-4 return the columns of their input, whatever they are called (``TEXT``
+beside ``text``).  A null or wordless text has no
 language and goes in stage 1.  In stage 2 rows without an id stay only if their
 group has no other, and equal rows are one document.  An empty table gives an
 empty result.
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_insights.llm import bin_packing, decontaminate, ppm_language, secret_crf, simhash_covering
-from retail_insights.llm.common import materialize, release, table, text_batches
+from retail_insights.llm.common import materialize, place, positional, release, table, text_batches
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +43,11 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text_batches(spark)
     clean = secret_crf.masked(docs, secret_crf.train(docs))
-    if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return clean
+    if "n_chars" not in docs.columns:
+        return clean
+    plain, n = positional(clean), place(docs, "n_chars")
+    length = F.length(place(docs, "text")).cast(plain.schema[n].dataType)
+    return plain.withColumn(n, length).toDF(*docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,11 +46,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage
-    with files that outlive any executor."""
+    with files that outlive any executor.  Columns are written by position where
+    their names clash (``Text`` beside ``text``)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    plain = positional(df) if clashing(df) else df
+    plain.write.parquet(path)
+    return spark.read.schema(plain.schema).parquet(path).toDF(*df.columns)
+
+
+def clashing(df: DataFrame) -> bool:
+    return len({c.lower() for c in df.columns}) < len(df.columns)
+
+
+def positional(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1, ...: no name can clash with another
+    or with one that an operator adds."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+
+
+def place(df: DataFrame, name: str) -> str:
+    """The positional name of the column that is called exactly ``name``."""
+    return f"c{df.columns.index(name)}"
 
 
 def only(df: DataFrame, *names: str) -> DataFrame:
@@ -62,9 +79,8 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     missing = [n for n in names if n not in by_name]
     if missing:
         raise ValueError(f"missing columns {missing}")
-    if len({c.lower() for c in df.columns}) < len(df.columns):
-        df = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-        return df.select([F.col(f"c{by_name[n]}").alias(n) for n in names])
+    if clashing(df):
+        return positional(df).select([F.col(f"c{by_name[n]}").alias(n) for n in names])
     return df.select(*names)
 
 

@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_insights.llm.common import only, table
+from retail_insights.llm.common import only, positional, table
 
 Q = 12
 #: Edits allowed per hundred symbols of an item or long window.
@@ -322,10 +322,10 @@ def _dropper(items, text_at: int):
 def without_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                      item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents in which no benchmark item is found, all columns kept."""
-    kept = docs
+    kept = positional(docs)
     for items in item_blocks(benchmark, item_text, block_bytes):
-        kept = kept.mapInArrow(_dropper(items, docs.columns.index(text_col)), docs.schema)
-    return kept
+        kept = kept.mapInArrow(_dropper(items, docs.columns.index(text_col)), kept.schema)
+    return kept.toDF(*docs.columns)
 
 
 def op3_benchmark_passages(spark, sf_dir):

@@ -28,13 +28,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retail_insights.llm.common import only, table
+from retail_insights.llm.common import only, place, positional, table
 
 ORDER = 3
 TRAIN_DOCS = 1500
 #: Contexts seen less often than this, over all languages, are left out of the trees.
 MIN_CONTEXT = 4
 UNDETERMINED = "und"
+#: A text in none of the learned languages: even the best codes it in more bits
+#: a byte than these (plain bytes take 8).  On sf0.1 the labelled documents, junk
+#: included, take 1.2 to 6.9 bits; random letters, other scripts and markup 12.7
+#: to 21.
+MAX_BITS = 10.0
 #: Bytes that a task scores at once (a longer document in stretches of this size).
 UNIT = 1 << 20
 
@@ -203,9 +208,10 @@ class ContextTrees:
         return best, score, low
 
 
-def _predictor(model: dict, text_at: int, keep_only: bool):
+def _predictor(model: dict, text_at: int, max_bits: float | None = None):
     """Rows whose last column says whether the text has a letter -> their
-    columns but text and last with the prediction, or the accepted rows."""
+    columns but text and last with the prediction, or, with ``max_bits``, the
+    rows that their language codes in that many bits a byte or fewer."""
 
     def run(batches):
         import pyarrow as pa
@@ -221,8 +227,8 @@ def _predictor(model: dict, text_at: int, keep_only: bool):
                 for k, r, b, s, n in zip(part, raw, *(x.tolist() for x in trees.predict(raw))):
                     lang[k], score[k], bits[k] = trees.langs[b], min(1.0, s), n / len(r)
             names = batch.schema.names
-            if keep_only:
-                ok = pa.array([x != UNDETERMINED for x in lang], pa.bool_())
+            if max_bits is not None:
+                ok = pa.array([b is not None and b <= max_bits for b in bits], pa.bool_())
                 yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=names[:-1]).filter(ok)
             else:
                 yield pa.RecordBatch.from_arrays(
@@ -240,14 +246,17 @@ def predict_language(docs: DataFrame, model: dict, id_col: str = "doc_id", text_
     """``(doc_id, held_out, lang_pred, score, bits_per_byte)`` per input row."""
     d = only(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     d = d.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text", _has_letter(F.col("text")).alias("ok"))
-    return d.mapInArrow(_predictor(model, 2, False),
+    return d.mapInArrow(_predictor(model, 2),
                         "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double")
 
 
-def with_language(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
-    """The rows whose text has a language, all columns kept."""
-    d = docs.select(*docs.columns, _has_letter(F.col(text_col)).alias("_has_letter"))
-    return d.mapInArrow(_predictor(model, docs.columns.index(text_col), True), docs.schema)
+def with_language(docs: DataFrame, model: dict, text_col: str = "text", max_bits: float = MAX_BITS) -> DataFrame:
+    """The rows whose text a learned language explains, all columns kept: texts
+    without a letter go, and those that even the best language codes in more
+    than ``max_bits`` bits a byte.  If no language was learned, none is kept."""
+    plain, text = positional(docs), place(docs, text_col)
+    judged = plain.select("*", _has_letter(F.col(text)).alias("letter"))
+    return judged.mapInArrow(_predictor(model, docs.columns.index(text_col), max_bits), plain.schema).toDF(*docs.columns)
 
 
 def op2_ppm_language(spark, sf_dir):

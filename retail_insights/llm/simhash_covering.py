@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_insights.llm.common import materialize, only, table
+from retail_insights.llm.common import materialize, only, place, positional, table
 from retail_insights.llm.components import connected_components
 
 SHINGLE, MAX_DISTANCE = 3, 2
@@ -178,13 +178,14 @@ def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, max_distance: int
         F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("w")).select(
         F.coalesce("w.doc_id", "w.text_hash").alias("_key"), F.col("w.text_hash").alias("_hash"),
         F.col("w.no_id").alias("_no_id"))
-    keyed = docs.withColumn("_text_hash", F.xxhash64(text_col)).withColumn(
-        "_key", F.coalesce(F.col(id_col).cast("long"), F.col("_text_hash")))
+    plain, doc, text = positional(docs), place(docs, id_col), place(docs, text_col)
+    keyed = plain.withColumn("text_hash", F.xxhash64(text)).withColumn(
+        "_key", F.coalesce(F.col(doc).cast("long"), F.col("text_hash")))
     kept = keyed.join(winners, "_key").where(
-        (F.col("_hash") == F.col("_text_hash")) & (F.col("_no_id") == F.col(id_col).isNull()))
+        (F.col("_hash") == F.col("text_hash")) & (F.col("_no_id") == F.col(doc).isNull()))
     # The join left equal rows side by side; one of them stays.
-    first = Window.partitionBy("_key", "_hash", "_no_id").orderBy(F.xxhash64(*docs.columns))
-    return kept.withColumn("_row", F.row_number().over(first)).where("_row = 1").select(docs.columns)
+    first = Window.partitionBy("_key", "_hash", "_no_id").orderBy(F.xxhash64(*plain.columns))
+    return kept.withColumn("_row", F.row_number().over(first)).where("_row = 1").select(plain.columns).toDF(*docs.columns)
 
 
 def hex_fingerprint(fp: Column) -> Column:

@@ -165,3 +165,46 @@ def test_pipeline_runs_whole(spark):
     out = corpus_pipeline.run(spark, SF_SMALL)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert out.select("doc_id").distinct().count() > 150
+
+
+CLASHING = ("doc_id long, text string, lang string, source string, n_chars long, TEXT long, Doc_ID string, _key string, "
+            "_row int, _hash string, _has_letter string, letter string, _text_hash int, c1 string, N_CHARS string")
+
+
+def test_pipeline_stages_keep_clashing_columns(spark):
+    base = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(40).collect()
+    rows = [(*r, r.doc_id * 7, "x", "k", 3, None, "h", "l", 5, "c", "n") for r in base]
+    rows += [(9000, None, None, None, None, *[None] * 10), (9001, rows[0][1], *rows[0][2:])]
+    docs = spark.createDataFrame(rows, CLASHING)
+    extra = {r[0]: r[5:] for r in rows}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF_SMALL)
+        assert docs.columns == [f.split()[0] for f in CLASHING.split(", ")]
+        docs = corpus_pipeline.materialize(docs, "clash")
+        got = docs.collect()
+        assert got and all(tuple(r)[5:] == extra[r[0]] for r in got)
+        if name == "SimHash near-dedup":
+            assert len(got) < len(rows) - 1
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).collect()
+    _check_packing(packed, [(r[0], r[1]) for r in got], 1024)
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
+    bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").limit(0)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, str(tmp_path)).columns == docs.columns
+
+
+def test_language_stage_rejects_what_no_language_explains(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rng = Random(4)
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(400)), "漢字文章語言" * 40,
+             "абвгдежз ийклмноп " * 20, "a " + "#$%& *<>|" * 40]
+    odd = spark.createDataFrame([(90_000 + k, t, "en", "s", len(t)) for k, t in enumerate(noise)], docs.schema)
+    kept = dict(corpus_pipeline.STAGES)["language ID"](spark, docs.unionByName(odd), SF_SMALL)
+    lettered = {r.doc_id for r in docs.where("text rlike '\\\\p{L}'").collect()}
+    assert {r.doc_id for r in kept.collect()} == lettered
