@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from retail_insights import schemas
 from retail_insights.sinks import publish_checked, unique_key, write_checked
-from retail_insights.sources import read_documents, read_files, read_jdbc, read_typed_documents
+from retail_insights.sources import read_balanced, read_documents, read_files, read_jdbc, read_typed_documents
 
 # Source tables and the bronze datasets they land in.
 RELATIONAL_TABLES = {
@@ -61,6 +61,8 @@ class JdbcTable:
     upper_bound: int | str | None = None
     num_partitions: int | None = None
     fetch_size: int | None = None
+    #: Columns whose quantiles in the source make ``num_partitions`` balanced parts.
+    split_by: tuple[str, ...] | None = None
 
 
 def declared(df: DataFrame, name: str) -> DataFrame:
@@ -105,8 +107,11 @@ def ingest_jdbc(
     ``buckets`` of one order key; returns rows written per name."""
     counts = {}
     for t in tables:
-        df = read_jdbc(spark, t.url, t.table, properties, t.partition_column, t.lower_bound,
-                       t.upper_bound, t.num_partitions, t.fetch_size)
+        if t.split_by:
+            df = read_balanced(spark, t.url, t.table, list(t.split_by), t.num_partitions, properties, t.fetch_size)
+        else:
+            df = read_jdbc(spark, t.url, t.table, properties, t.partition_column, t.lower_bound,
+                           t.upper_bound, t.num_partitions, t.fetch_size)
         counts[t.name] = _land(spark, declared(df, t.name), t.name, target, database, buckets)
     return counts
 

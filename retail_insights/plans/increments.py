@@ -94,6 +94,7 @@ def ingest_increment(
     types, say).  Rows without a key cannot be placed: they stop the run.
     ``parts`` reads the batch in that many key ranges of equal row counts."""
     source = Source(spark, url, table, properties)
+    key = source.column(key)
     if source.count(f"{key} IS NULL"):
         raise ValueError(f"{table}: rows without {key}")
     mark = committed(spark, target)

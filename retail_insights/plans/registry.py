@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from retail_insights import operators as op
+from retail_insights.plans.presentation import positioned
 from retail_insights.sources.fixture import AS_OF, Fixture
 
 # Fixed values of the acceptance queries.
@@ -157,6 +158,16 @@ def monthly_rollup(spark, sf_dir):
     return op.monthly_rollup(all_sales(_fx(spark, sf_dir)))
 
 
+def product_growth_positions(spark, sf_dir):
+    """Month-over-month growth with each row's place in the source's order."""
+    return positioned(product_mom_growth(spark, sf_dir), "month_over_month_growth_pct")
+
+
+def purchase_trend_positions(spark, sf_dir):
+    """The purchase trend with each row's place by customer and growth."""
+    return positioned(purchase_trend(spark, sf_dir), "customer_purchase_trend")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_customers": top_customers,
     "churn_risk": churn_risk,
@@ -180,4 +191,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "yoy_by_category": yoy_by_category,
     "segments": segments,
     "monthly_rollup": monthly_rollup,
+    "product_growth_positions": product_growth_positions,
+    "purchase_trend_positions": purchase_trend_positions,
 }

@@ -79,3 +79,23 @@ SALES = T.StructType([
 ])
 
 SALES_COLUMNS = [f.name for f in SALES.fields]
+
+#: Declared schemas by dataset name, for jobs that name one (``--schema``).
+DATASETS = {
+    "customers": CUSTOMERS,
+    "products": PRODUCTS,
+    "orders": ORDERS,
+    "order_items": ORDER_ITEMS,
+    "login_history": LOGIN_HISTORY,
+    "customer_support": CUSTOMER_SUPPORT,
+    "enterprise_campaign": ENTERPRISE_CAMPAIGN,
+    "sales": SALES,
+}
+
+
+def declared_schema(text: str) -> T.StructType:
+    """The schema of a dataset in :data:`DATASETS`, or one written as DDL
+    (``id long, amount decimal(10,2)``)."""
+    if text in DATASETS:
+        return DATASETS[text]
+    return T.StructType.fromDDL(text)

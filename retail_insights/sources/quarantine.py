@@ -8,6 +8,7 @@ and the row as it stood.  The reads that stop (FAILFAST) remain beside it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -82,17 +83,19 @@ def marked_typed(spark: SparkSession, path: str, schema: StructType, item: str |
     return judged.select(*values, REASON, FILE, RAW)
 
 
-def land(df: DataFrame, target: str, side: str) -> Landed:
-    """Write the good rows of a marked table to ``target`` and the bad ones, with
-    what could be parsed of them, to ``side``; the counts of both add up to the
-    rows read."""
+def land(df: DataFrame, target: str, side: str,
+         transform: Callable[[DataFrame], DataFrame] | None = None) -> Landed:
+    """Write the good rows of a marked table, after ``transform``, to ``target``
+    and the bad ones, with what could be parsed of them, to ``side``; the counts
+    of both add up to the rows read."""
     # The parsers judge rows by the columns that a query reads: both passes read all.
     told = df.withColumn(PARSED, F.to_json(F.struct(*[c for c in df.columns if c not in SIDE])))
     bad_rows = told.where(F.col(REASON).isNotNull()).select(*SIDE, PARSED)
     obs = Observation("land")
     bad = F.col(REASON).isNotNull()
     seen = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad"))
-    seen.where(~bad).drop(*SIDE).write.mode("overwrite").parquet(target)
+    good = seen.where(~bad).drop(*SIDE)
+    (good if transform is None else transform(good)).write.mode("overwrite").parquet(target)
     rows, n_bad = int(obs.get["rows"]), int(obs.get["bad"])
     if n_bad:
         again = Observation("quarantine")

@@ -38,6 +38,15 @@ class Source:
     def __init__(self, spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None):
         self.spark, self.url, self.table, self.properties = spark, url, table, dict(properties or {})
 
+    def column(self, name: str) -> str:
+        """The table's column of that name, in any case, quoted as its database quotes."""
+        reader = self.spark.read.format("jdbc").options(**self.properties).option("url", self.url)
+        columns = reader.option("dbtable", self.table).load().columns  # asks for the schema alone
+        found = [c for c in columns if c == name] or [c for c in columns if c.lower() == name.lower()]
+        if len(found) != 1:
+            raise ValueError(f"{self.table} has no column {name}; it has {columns}")
+        return self.spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.url).quoteIdentifier(found[0])
+
     def ask(self, query: str) -> list[tuple]:
         """Rows of a query that returns a few."""
         reader = self.spark.read.format("jdbc").options(**self.properties).option("url", self.url)
@@ -96,7 +105,8 @@ def plan_splits(spark: SparkSession, url: str, table: str, columns: list[str], n
     source = Source(spark, url, table, properties)
     if n < 2:
         return ["1 = 1"]
-    return [f"({p})" for p in _merged(source, [f"({p})" for p in _ranges(source, columns, n, "1 = 1")], n)]
+    named = [source.column(c) for c in columns]
+    return [f"({p})" for p in _merged(source, [f"({p})" for p in _ranges(source, named, n, "1 = 1")], n)]
 
 
 def read_balanced(spark: SparkSession, url: str, table: str, columns: list[str], n: int,

@@ -21,6 +21,7 @@ EXPECTED_ROWS = {
     "purchase_trend": 1387, "retention": 7, "product_mom_growth": 4950, "yoy_by_product": 353,
     "yoy_by_category": 241, "segments": 136, "suspicious_logins": 2, "high_risk_orders": 29,
     "best_customers": 5, "yoy_by_product_wide": 5933, "monthly_rollup": 5933,
+    "product_growth_positions": 4950, "purchase_trend_positions": 1387,
 }
 
 

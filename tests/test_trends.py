@@ -173,3 +173,19 @@ def test_presented_orders_like_the_source(spark):
     out = presented(peak_sales_months(sales), "peak_sales_months").collect()
     assert [r.year_month for r in out] == ["2020-02", "2021-12", "2020-01"]
     assert presented(sales, "unknown") is sales
+
+
+def test_positions_are_those_of_one_sorted_list(spark):
+    from retail_insights.plans.presentation import positioned, presented
+    data = [(f"20{y:02d}-{m:02d}", None if (y + m) % 5 == 0 else D(str((y * 7 + m) % 11))) for y in range(60) for m in range(1, 13)]
+    df = spark.createDataFrame(data, "year_month string, monthly_product_sales decimal(31,2)").repartition(7)
+    got = positioned(df, "peak_sales_months")
+    assert got.columns == ["year_month", "monthly_product_sales", "position"]
+    want = sorted(data, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert [(r[0], r[1]) for r in sorted(got.collect(), key=lambda r: r.position)] == want
+    assert sorted(r.position for r in got.collect()) == list(range(1, len(data) + 1))
+    assert [r[1] for r in presented(df, "peak_sales_months").collect()] == [r[1] for r in want]
+    assert positioned(df.limit(0), "peak_sales_months").count() == 0
+    # One value in a third of the rows still gets each place once.
+    hot = positioned(spark.range(900).select((F.col("id") % 3).alias("k"), F.col("id").alias("v")).repartition(5), "unknown")
+    assert [(r.k, r.v) for r in sorted(hot.collect(), key=lambda r: r.position)] == sorted((i % 3, i) for i in range(900))
