@@ -2,7 +2,6 @@ import datetime as dt
 from decimal import Decimal
 
 from conftest import SF_SMALL, rows
-from pyspark.sql import functions as F
 
 from retail_insights import flatten_interactions, flatten_tickets, omni_channel
 from retail_insights.schemas import CUSTOMER_SUPPORT, ENTERPRISE_CAMPAIGN
