@@ -7,7 +7,7 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from test_churn_risk import churn_by_hand
-from test_engagement import full_outer_form
+from test_engagement import tally
 
 from retail_insights import churn_risk, flatten_interactions, omni_channel, yearly_retention
 from retail_insights.schemas import ENTERPRISE_CAMPAIGN
@@ -79,4 +79,4 @@ def test_omni_union_equals_full_outer_joins(spark, campaigns, orders, tickets):
     inter = flatten_interactions(camp)
     as_of = dt.date(2020, 6, 1)
     assert rows(omni_channel(inter, ords, tix, as_of, 90)) == \
-        rows(full_outer_form(inter, ords, tix, as_of, 90))
+        tally(inter, ords, tix, as_of, 90)
