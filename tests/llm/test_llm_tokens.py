@@ -204,7 +204,7 @@ def test_language_stage_rejects_what_no_language_explains(spark):
     rng = Random(4)
     noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(400)), "漢字文章語言" * 40,
              "абвгдежз ийклмноп " * 20, "a " + "#$%& *<>|" * 40]
-    odd = spark.createDataFrame([(90_000 + k, t, "en", "s", len(t)) for k, t in enumerate(noise)], docs.schema)
+    odd = spark.createDataFrame([(90_000 + k, t, None, "s", len(t)) for k, t in enumerate(noise)], docs.schema)
     kept = dict(corpus_pipeline.STAGES)["language ID"](spark, docs.unionByName(odd), SF_SMALL)
     lettered = {r.doc_id for r in docs.where("text rlike '\\\\p{L}'").collect()}
     assert {r.doc_id for r in kept.collect()} == lettered
